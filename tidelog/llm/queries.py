@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, spm
+from . import chat, matroska, mixing, quality, spm, vptree
 from .common import table
 
 
@@ -13,6 +13,21 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matroska.media_features(_documents(spark, sf_dir))
+
+
+def op4_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_documents(docs, model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,6 +65,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_matroska": op1_matroska,
+    "op4_vptree": op4_vptree,
+    "op5_quality": op5_quality,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_chat_format": op8_chat_format,
     "op9_mixing": op9_mixing,
