@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, matroska, mixing, quality, spm, vptree
+from . import chat, dedup, matroska, mixing, quality, spm, vptree
 from .common import table
 
 
@@ -17,6 +17,10 @@ def op1_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.media_features(_documents(spark, sf_dir))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.near_duplicates(_documents(spark, sf_dir)).select("doc_id", "class_id")
+
+
 def op4_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -66,6 +70,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_matroska": op1_matroska,
+    "op3_minhash": op3_minhash,
     "op4_vptree": op4_vptree,
     "op5_quality": op5_quality,
     "op7_sentencepiece": op7_sentencepiece,
