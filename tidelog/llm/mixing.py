@@ -68,7 +68,7 @@ def _bin(time: Column) -> Column:
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES, share: float = 1.0, seed: int = 9) -> DataFrame:
-    """The mix: (doc_id, source, size, source_size, target, copies, taken), a row per input row.
+    """The mix: (doc_id, source, size, source_size, target, copies, taken, text_hash), a row per input row.
 
     ``docs`` needs doc_id, text and source; other columns are ignored. Null texts
     and texts without words have size 0, and are taken 0 words. Null sources
@@ -77,7 +77,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES,
     the result depends on the rows alone, not on their order or partitions.
     """
     sized = written(
-        docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+        docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"))
         .withColumn("spread", order_hash(F.col("doc_id"), seed)),
         "mix-sizes",
     )
@@ -93,11 +93,11 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES,
     targets = targets.withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).drop("source")
     offsets = offsets.select("key", "bucket", "offset").join(targets, "key")
 
-    inside = Window.partitionBy("key", "bucket").orderBy("spread", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("key", "bucket").orderBy("spread", "doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, 0)
     timed = (
         sized.join(offsets, ["key", "bucket"])
         .withColumn("reached", F.sum("size").over(inside) + F.col("offset"))
-        .select("doc_id", "source", "size", "spread", "source_rank", "source_size", "target", "reached")
+        .select("doc_id", "source", "size", "text_hash", "spread", "source_rank", "source_size", "target", "reached")
     )
     timed = written(timed, "mix-times")
 
@@ -121,7 +121,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES,
             F.lit(0),
         )
     return timed.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies.cast("long") * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies.cast("long") * F.col("size")).alias("taken"), "text_hash"
     )
 
 
@@ -149,3 +149,18 @@ def _cut(timed: DataFrame, passes: DataFrame, share: float) -> Column | None:
         return None
     kinds = dict(passes.dtypes)
     return F.struct(*[F.lit(v).cast(kinds[k]).alias(k) for k, v in last.asDict().items()])
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it takes them, all columns.
+
+    Rows of equal doc_id, source and text share what they are given together.
+    """
+    given = mix_sources(docs, **options).groupBy(F.col("doc_id").alias("id_"), F.col("source").alias("source_"), F.col("text_hash").alias("hash_"))
+    given = given.agg(F.sum("copies").alias("copies_"), F.count("*").alias("rows_")).where("copies_ > 0")
+    same = F.col("doc_id").eqNullSafe(F.col("id_")) & F.col("source").cast("string").eqNullSafe(F.col("source_")) & (F.xxhash64("text") == F.col("hash_"))
+    order = Window.partitionBy("id_", "source_", "hash_").orderBy(F.lit(1))
+    joined = docs.join(given, same).withColumn("n_", F.row_number().over(order))
+    own = F.floor(F.col("copies_") / F.col("rows_")) + (F.col("n_") <= F.col("copies_") % F.col("rows_")).cast("long")
+    repeated = joined.withColumn("own_", own).where("own_ > 0").withColumn("again_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("own_"))))
+    return repeated.select(*[f"`{c}`" for c in docs.columns])

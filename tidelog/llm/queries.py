@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, dedup, matroska, mixing, quality, spm, vptree
+from . import chat, dedup, licenses, matroska, mixing, ngram_lm, quality, spm, token_scan, vptree
 from .common import table
 
 
@@ -17,6 +17,10 @@ def op1_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.media_features(_documents(spark, sf_dir))
 
 
+def op2_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_corpus(_documents(spark, sf_dir))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_duplicates(_documents(spark, sf_dir)).select("doc_id", "class_id")
 
@@ -32,6 +36,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_documents(spark, sf_dir))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -68,14 +76,24 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+def op10_token_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = spm.load(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_scan.count_tokens(_documents(spark, sf_dir), model, eod=2)  # 2: </s>, which no text encodes to
+
+
 QUERIES = {
     "op1_matroska": op1_matroska,
+    "op2_ngram_lm": op2_ngram_lm,
     "op3_minhash": op3_minhash,
     "op4_vptree": op4_vptree,
     "op5_quality": op5_quality,
+    "op6_licenses": op6_licenses,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_chat_format": op8_chat_format,
     "op9_mixing": op9_mixing,
+    "op10_token_scan": op10_token_scan,
 }
 
 ORACLE: dict[str, str] = {}
