@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from .common import written
 
-LEAF = 64
+LEAF = 256
 #: Points in a shard, pivots at most, sampled points that pivots and first bounds come from.
 SHARD_POINTS = 32_768
 MAX_PIVOTS = 256
@@ -76,33 +76,63 @@ class Tree:
         self.rows = np.full((len(queries), k), -1)
         self.limit = bound.copy()
         self.squares = (self.points**2).sum(axis=1)
+        # First each query's home leaf, which gives close bounds; then every node once, with all queries that may need it.
+        self.home = np.full(len(queries), -1)
+        self._descend(self.root, np.arange(len(queries)))
         self._walk(self.root, np.arange(len(queries)))
         return self.best, self.rows
 
-    def _walk(self, at: int, active: np.ndarray) -> None:
+    def _descend(self, at: int, active: np.ndarray) -> None:
         node = self.nodes[at]
         if node[0] is None:
+            self.home[active] = at
             self._scan(self.order[node[1] : node[2]], active)
             return
         vantage, inner, inner_range, outer, outer_range = node
-        d = np.sqrt(((self.q[active] - vantage) ** 2).sum(axis=1))
-        first_inner = d < (inner_range[1] + outer_range[0]) / 2
-        for child, span, first in ((inner, inner_range, first_inner), (outer, outer_range, ~first_inner)):
-            self._child(child, span, active, d, first)
-        for child, span, first in ((outer, outer_range, first_inner), (inner, inner_range, ~first_inner)):
-            self._child(child, span, active, d, first)
-
-    def _child(self, child: int, span: tuple, active: np.ndarray, d: np.ndarray, wanted: np.ndarray) -> None:
-        lower = np.maximum(np.maximum(d - span[1], span[0] - d), 0)
-        go = wanted & (lower * self.factor <= self.limit[active] + SLACK)
-        if go.any():
-            self._walk(child, active[go])
+        near = self._to(vantage, active) < (inner_range[1] + outer_range[0]) / 2
+        for child, own in ((inner, active[near]), (outer, active[~near])):
+            if len(own):
+                self._descend(child, own)
+
+    def _to(self, vantage: np.ndarray, active: np.ndarray) -> np.ndarray:
+        return np.sqrt(((self.q[active] - vantage) ** 2).sum(axis=1))
+
+    def _walk(self, at: int, active: np.ndarray) -> None:
+        node = self.nodes[at]
+        if node[0] is None:
+            active = active[self.home[active] != at]
+            if len(active):
+                self._scan(self.order[node[1] : node[2]], active)
+            return
+        vantage, inner, inner_range, outer, outer_range = node
+        d = self._to(vantage, active)
+        for child, span in ((inner, inner_range), (outer, outer_range)):
+            lower = np.maximum(np.maximum(d - span[1], span[0] - d), 0)
+            go = lower * self.factor <= self.limit[active] + SLACK
+            if go.any():
+                self._walk(child, active[go])
 
     def _scan(self, rows: np.ndarray, active: np.ndarray) -> None:
         q = self.q[active]
         square = (q**2).sum(axis=1)[:, None] + self.squares[rows][None, :] - 2 * (q @ self.points[rows].T)
-        best = np.concatenate([self.best[active], np.maximum(square, 0)], axis=1)
-        found = np.concatenate([self.rows[active], np.broadcast_to(rows, (len(active), len(rows)))], axis=1)
+        np.maximum(square, 0, out=square)
+        # Only queries to which some point of the leaf comes close enough go on.
+        near = square.min(axis=1) <= self.limit[active] ** 2 + SLACK
+        if not near.any():
+            return
+        active, square = active[near], square[near]
+        keep = min(self.k, len(rows))
+        if keep < len(rows):
+            # Ties at the edge matter: all points as near as the keep-th take part.
+            edge = np.partition(square, keep - 1, axis=1)[:, keep - 1]
+            width = int((square <= edge[:, None]).sum(axis=1).max())
+            part = np.argpartition(square, min(width, len(rows)) - 1, axis=1)[:, :width] if width < len(rows) else np.broadcast_to(np.arange(len(rows)), square.shape)
+            square = np.take_along_axis(square, part, axis=1)
+            own = rows[part]
+        else:
+            own = np.broadcast_to(rows, square.shape)
+        best = np.concatenate([self.best[active], square], axis=1)
+        found = np.concatenate([self.rows[active], own], axis=1)
         ids = np.where(found >= 0, self.ids[found], np.iinfo(np.int64).max)
         order = np.lexsort((ids, best), axis=1)[:, : self.k]
         self.best[active] = np.take_along_axis(best, order, axis=1)
