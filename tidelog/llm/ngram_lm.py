@@ -343,7 +343,7 @@ def train(docs: DataFrame, order: int = ORDER, max_bits: int = MAX_BITS) -> tupl
     h = found.column(0).to_numpy().view(np.uint64)
     rank = np.argsort(h)
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    segments = 1 << min(12, max(4, (size >> 25).bit_length()))
+    segments = min(SEGMENTS, 1 << max(4, (size >> 25).bit_length()))
     return Model(_filter(counts, max_bits), order, total, distinct, h[rank], found.column(1).to_numpy()[rank], segments), single
 
 
