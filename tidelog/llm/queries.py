@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import chat, dedup, licenses, matroska, mixing, ngram_lm, quality, spm, token_scan, vptree
 from .common import table
+from .oracle import ORACLE  # noqa: F401
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,5 +96,3 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_token_scan": op10_token_scan,
 }
-
-ORACLE: dict[str, str] = {}
