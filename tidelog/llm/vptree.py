@@ -176,7 +176,7 @@ def distinct_vectors(table: DataFrame, key: str, vector: str, keep: int, every:
             for i, v in zip(rows, vectors, strict=True):
                 if (n := ids[int(i)].as_py()) is not None:
                     groups.setdefault(v.tobytes(), []).append(n)
-            out = [(hashlib.blake2b(v, digest_size=16).digest(), v, sorted(n)[:keep], any(x % every == 0 for x in n)) for v, n in groups.items()]
+            out = [(hashlib.blake2b(v, digest_size=16).digest(), v, sorted(set(n))[:keep], any(x % every == 0 for x in n)) for v, n in groups.items()]
             columns = list(zip(*out, strict=True)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.list_(pa.int64())), pa.array(columns[3], pa.bool_())], names=schema.names)
 
@@ -185,7 +185,7 @@ def distinct_vectors(table: DataFrame, key: str, vector: str, keep: int, every:
     salted = part.withColumn("salt", F.spark_partition_id() % 64)
     for keys in (["vkey", "salt"], ["vkey"]):
         salted = salted.groupBy(*keys).agg(
-            F.first("vector").alias("vector"), F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, keep).alias("ids"), F.max("asked").alias("asked")
+            F.first("vector").alias("vector"), F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep).alias("ids"), F.max("asked").alias("asked")
         )
     return salted
 
@@ -307,12 +307,12 @@ def _nearest_of(base: DataFrame, dim: int, n: int, keep: int, factor: float) ->
             _, rows = tree.search(_query(q, m), keep + 3, part["bound"].to_numpy() * (1 + 1e-9), least, factor)
             for key, own, hits in zip(part["vkey"], q, rows, strict=True):
                 hits = hits[hits >= 0]
-                exact = (x[hits] * own).sum(axis=1)
+                exact = np.cumsum(x[hits] * own, axis=1)[:, -1]  # added up from the first component on
                 best = np.lexsort((least[hits], -exact))[:keep]
                 keys += [key] * len(best)
                 scores += exact[best].tolist()
                 ids += [left["ids"].iat[j] for j in hits[best]]
-        return pd.DataFrame({"vkey": keys, "score": scores, "ids": ids})
+        return pd.DataFrame({"vkey": pd.Series(keys, dtype=object), "score": pd.Series(scores, dtype=float), "ids": pd.Series(ids, dtype=object)})
 
     found = points.groupBy("cell", "salt").cogroup(asked.groupBy("cell", "salt")).applyInPandas(search, answer)
     order = Window.partitionBy("vkey").orderBy(F.desc("score"), F.element_at("ids", 1))
