@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.pgtypes import PgColumn, oid_of
+from tidelog.operators import asof
 from tidelog.sources import jdbc, pgoutput
 from tidelog.sources.hybrid import HybridReader
 from tidelog.sources.options import OptionsError
@@ -19,7 +20,9 @@ def _change(lsn, kind, key, **payload):
     return (lsn, kind, "t", key, json.dumps(payload | {"id": key}))
 
 
-def test_pgoutput(spark):
+@pytest.mark.parametrize("stretch", [1, 3, 1 << 16])
+def test_pgoutput(spark, monkeypatch, stretch):
+    monkeypatch.setattr(asof, "STRETCH", stretch)
     columns = [PgColumn("id", oid_of("int8"), -1, True), PgColumn("v", oid_of("text")), PgColumn("w", oid_of("int4"))]
     r = pgoutput.Relation(7, "public", "t", columns)
     wider = pgoutput.Relation(7, "public", "t", [*columns, PgColumn("x", oid_of("bool"))])

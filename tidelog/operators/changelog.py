@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.position import cdc_position
+from .asof import as_of
 
 #: Change kinds and the operations they become; all other kinds of messages give no record.
 OPERATIONS = {"insert": "create", "update": "update", "delete": "delete"}
@@ -78,12 +79,10 @@ def check_commits(messages: DataFrame) -> DataFrame:
     """(lsn, final_lsn): commits whose position is not the one that their transaction announced. Empty if all is well.
 
     Messages: (seq, kind, lsn) with kind begin (lsn: the announced position) or commit.
-    A commit's begin is the last one before it; it stands in the row before in
-    order of transactions, so one sorted pass over begins and commits finds it.
+    A commit's begin is the last one before it.
     """
-    order = Window.orderBy("seq") if "stream" not in messages.columns else Window.partitionBy("stream").orderBy("seq")
     marks = messages.where(F.col("kind").isin("begin", "commit"))
-    seen = marks.withColumn("final_lsn", F.last(F.when(F.col("kind") == "begin", F.col("lsn")), ignorenulls=True).over(order))
+    seen = as_of(marks, [], F.col("kind") == "begin", F.col("lsn"), "final_lsn")
     return seen.where((F.col("kind") == "commit") & ~F.col("lsn").eqNullSafe(F.col("final_lsn"))).select("lsn", "final_lsn")
 
 

@@ -13,10 +13,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.pgtypes import PgColumn, decode_text
+from ..operators.asof import as_of
 
 #: Kinds of messages by their first byte; the rest of the feed is ignored.
 KINDS = {b"B": "begin", b"C": "commit", b"R": "relation", b"I": "insert", b"U": "update", b"D": "delete"}
@@ -140,24 +141,15 @@ def decoded(messages: DataFrame) -> DataFrame:
     return messages.select("seq", "data").mapInArrow(run, _SHAPE)
 
 
-def with_context(rows: DataFrame, transactions: DataFrame | None = None) -> DataFrame:
-    """Row messages with the relation valid at their place, and their transaction's position as ``lsn``.
-
-    What is valid comes from the begin and relation messages before, by an as-of
-    join on their places: these are few beside the changes, and are collected to
-    no one place but the sorted side of the range.
-    """
-    relations = rows.where("kind = 'relation'").select("relation_id", F.col("seq").alias("from_"), "relation", "columns")
-    relations = relations.withColumn("to_", F.lead("from_").over(Window.partitionBy("relation_id").orderBy("from_")))
-    changes = rows.where(F.col("kind").isin("insert", "update", "delete")).drop("relation", "columns")
-    r = relations.alias("r")
-    same = (F.col("c.relation_id") == F.col("r.relation_id")) & (F.col("c.seq") > F.col("r.from_")) & (F.col("r.to_").isNull() | (F.col("c.seq") < F.col("r.to_")))
-    out = changes.alias("c").join(r, same, "left").select("c.*", "r.relation", "r.columns")
-    begins = rows.where("kind = 'begin'") if transactions is None else transactions
-    begins = begins.select(F.col("seq").alias("from_"), F.col("lsn").alias("tx_lsn")).withColumn("to_", F.lead("from_").over(Window.orderBy("from_")))
-    b = begins.alias("b")
-    inside = (F.col("c.seq") > F.col("b.from_")) & (F.col("b.to_").isNull() | (F.col("c.seq") < F.col("b.to_")))
-    return out.alias("c").join(b, inside, "left").select("c.seq", "c.kind", F.coalesce("b.tx_lsn", "c.lsn").alias("lsn"), "c.relation_id", "c.relation", "c.columns", "c.old", "c.new", "c.unchanged")
+def with_context(rows: DataFrame) -> DataFrame:
+    """Row messages with the relation valid at their place, and their transaction's position as ``lsn``."""
+    known = as_of(rows, ["relation_id"], F.col("kind") == "relation", F.struct("relation", "columns"), "definition_")
+    known = as_of(known, [], F.col("kind") == "begin", F.col("lsn"), "tx_lsn_")
+    changes = known.where(F.col("kind").isin("insert", "update", "delete"))
+    return changes.select(
+        "seq", "kind", F.coalesce("tx_lsn_", "lsn").alias("lsn"), "relation_id",
+        F.col("definition_.relation").alias("relation"), F.col("definition_.columns").alias("columns"), "old", "new", "unchanged",
+    )
 
 
 def unknown_relations(rows: DataFrame) -> DataFrame:
