@@ -5,7 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +74,28 @@ def word_count(text: Column) -> Column:
 def crc_of(column: Column) -> Column:
     """crc32 of the value's text; a null counts as an empty text."""
     return F.crc32(F.encode(F.coalesce(column.cast("string"), F.lit("")), "UTF-8"))
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what runs inside; for rows that hold packed arrays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def slices(texts: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``most`` bytes of text, or of one row: what a worker takes at once."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    begin, total = 0, 0
+    for i, n in enumerate(size):
+        if i > begin and total + n > most:
+            yield begin, i
+            begin, total = i, 0
+        total += int(n)
+    if len(size):
+        yield begin, len(size)

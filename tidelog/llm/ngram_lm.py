@@ -30,11 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textvec
-from .common import crc_of, written
-from .quality import _slices as slices
+from .common import crc_of, slices, small_batches, written
 
 ORDER = 2
-BITS_A_KEY = 12
+BITS_A_KEY = 10
 PROBES = 4
 MAX_BITS = 1 << 30
 #: The filter is built and addressed in segments by the first bits of a hash.
@@ -42,7 +41,7 @@ SEGMENTS = 1024
 FREQUENT = 1 << 18
 K = 6.0
 #: Tokens counted before a task hands on its counts.
-FLUSH = 3_000_000
+FLUSH = 2_000_000
 END, BEGIN = np.uint64(0x5E2D58D8B3BCDEF3), np.uint64(0x1F83D9ABFB41BD6B)
 _SHORT = 40
 
@@ -199,40 +198,42 @@ def _counts(docs: DataFrame, order: int) -> DataFrame:
 
     parts = docs.select("text").mapInArrow(count, shape)
     placed = parts.repartition("kind", "segment").sortWithinPartitions("kind", "segment")
-    return written(placed.mapInArrow(merge, shape), "lm-counts")
+    with small_batches(docs.sparkSession):
+        return written(placed.mapInArrow(merge, shape), "lm-counts")
 
 
 # --- filter ---------------------------------------------------------------------------------------------------
 
 
-def _positions(short: np.ndarray, q: int, mask: np.ndarray | int) -> list[np.ndarray]:
+def _positions(short: np.ndarray, q: int, size: np.ndarray | int) -> list[np.ndarray]:
+    """PROBES bits of a segment of ``size`` bits: 32-bit hashes scaled to the size."""
     x = textvec.mix(short * np.uint64(0x9E3779B97F4A7C15) + np.uint64((q * 0xC2B2AE3D27D4EB4F) & 0xFFFFFFFFFFFFFFFF))
     a, b = x >> np.uint64(32), (x & np.uint64(0xFFFFFFFF)) | np.uint64(1)
-    mask = np.asarray(mask, dtype=np.uint64)
-    return [(a + np.uint64(j) * b) & mask for j in range(PROBES)]
+    size, low = np.asarray(size, dtype=np.uint64), np.uint64(0xFFFFFFFF)
+    return [(((a + np.uint64(j) * b) & low) * size >> np.uint64(32)).astype(np.int64) for j in range(PROBES)]
 
 
 @dataclass
 class Filter:
-    """Bits of all segments behind one another; ``offset`` and ``mask`` by segment, in bits."""
+    """Bits of all segments behind one another; ``offset`` and ``size`` by segment, in bits."""
 
     bits: np.ndarray
     offset: np.ndarray
-    mask: np.ndarray
+    size: np.ndarray
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """Level of each n-gram by repeated probes: 0 if it isn't there."""
         segment, short = _segmented(h)
         out = np.zeros(len(h), dtype=np.int64)
-        live = np.flatnonzero(self.mask[segment] > 0)
+        live = np.flatnonzero(self.size[segment] > 0)
         q = 1
         while len(live) and q < 63:
             s = segment[live]
-            offset, mask = self.offset[s], self.mask[s]
+            offset, size = self.offset[s], self.size[s]
             x = short[live]
             keep = np.ones(len(live), dtype=bool)
-            for at in _positions(x, q, mask):
-                at = at.astype(np.int64) + offset
+            for at in _positions(x, q, size):
+                at += offset
                 keep &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
             live = live[keep]
             out[live] = q
@@ -264,11 +265,11 @@ def _filter(counts: DataFrame, max_bits: int) -> Filter:
         def row() -> pa.RecordBatch:
             short, q = np.concatenate([x for x, _ in own]), np.concatenate([y for _, y in own])
             keys = int(q.sum())
-            size = min(most, 1 << max(6, (keys * BITS_A_KEY - 1).bit_length()))
+            size = min(most, max(64, -(-keys * BITS_A_KEY // 64) * 64))
             bits = np.zeros(size, dtype=bool)
             for n in range(1, int(q.max(initial=0)) + 1):
-                for at in _positions(short[q >= n], n, size - 1):
-                    bits[at.astype(np.int64)] = True
+                for at in _positions(short[q >= n], n, size):
+                    bits[at] = True
             value = np.packbits(bits, bitorder="little").tobytes()
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([value], pa.binary())], names=["segment", "bits"])
 
@@ -285,15 +286,17 @@ def _filter(counts: DataFrame, max_bits: int) -> Filter:
             yield row()
 
     placed = counts.select("segment", "hashes", "counts").repartition("segment").sortWithinPartitions("segment")
-    offset, mask = np.zeros(SEGMENTS, dtype=np.int64), np.zeros(SEGMENTS, dtype=np.int64)
+    offset, width = np.zeros(SEGMENTS, dtype=np.int64), np.zeros(SEGMENTS, dtype=np.int64)
     parts, at = [], 0
     # One row a segment, max_bits in all.
-    for r in placed.mapInArrow(build, "segment int, bits binary").toLocalIterator():
+    with small_batches(counts.sparkSession):
+        rows = placed.mapInArrow(build, "segment int, bits binary").collect()
+    for r in rows:
         value = bytes(r["bits"])
         parts.append(value)
-        offset[r["segment"]], mask[r["segment"]] = at, 8 * len(value) - 1
+        offset[r["segment"]], width[r["segment"]] = at, 8 * len(value)
         at += 8 * len(value)
-    return Filter(np.frombuffer(b"".join(parts) or b"\0", dtype=np.uint8), offset, mask)
+    return Filter(np.frombuffer(b"".join(parts) or b"\0", dtype=np.uint8), offset, width)
 
 
 # --- scores ---------------------------------------------------------------------------------------------------
@@ -429,7 +432,8 @@ def score_documents(docs: DataFrame, model: Model, single: DataFrame) -> DataFra
                 )
 
     rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text").mapInArrow(score, schema)
-    rows = written(rows, "lm-scores")
+    with small_batches(spark):
+        rows = written(rows, "lm-scores")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows by part, the counts first: for each request the sums of its texts."""
@@ -465,7 +469,8 @@ def score_documents(docs: DataFrame, model: Model, single: DataFrame) -> DataFra
     table = single.select((F.col("segment") / F.lit(ratio)).cast("int").alias("part"), F.col("segment").alias("first"), "hashes", "counts")
     asked = rows.where("part is not null").select("part", F.lit(-1).alias("first"), F.col("request").alias("hashes"), F.lit(None).cast("binary").alias("counts"))
     both = table.unionByName(asked).repartition("part").sortWithinPartitions("part", F.desc("first"))
-    sums = both.mapInArrow(answer, "na long, nb long, part int, known long, logs double")
+    with small_batches(spark):
+        sums = written(both.mapInArrow(answer, "na long, nb long, part int, known long, logs double"), "lm-answers")
     # Equal texts in several batches asked for the same: one answer each.
     sums = sums.groupBy("na", "nb", "part").agg(F.first("known").alias("known"), F.first("logs").alias("logs"))
     sums = sums.groupBy("na", "nb").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs"))
