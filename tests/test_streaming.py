@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.pgtypes import PgColumn, oid_of

@@ -37,10 +37,6 @@ _SPARK = {
 }
 
 
-class TypeError_(ValueError):
-    pass
-
-
 @dataclass(frozen=True)
 class PgColumn:
     """A column as a relation describes it."""
