@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textvec
-from .common import crc_of
+from .common import crc_of, slices
 
 BITS = 18
 #: The fit takes at most this many labelled rows, and feature values of all of them together.
@@ -241,25 +241,10 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", threshold
             texts = b.column(b.schema.get_field_index(text))
             scores = np.empty(b.num_rows)
             # Some MB of text at a time, and a long text alone.
-            for a, z in _slices(texts):
+            for a, z in slices(texts):
                 scores[a:z] = m.scores(texts.slice(a, z - a).to_pylist())
             columns = [b.column(b.schema.get_field_index(f.name)) for f in kept]
             columns += [pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32), pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
     return docs.select(*[f"`{f.name}`" for f in kept]).mapInArrow(run, schema)
-
-
-def _slices(texts: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``most`` bytes, or one row."""
-    import pyarrow.compute as pc
-
-    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    begin, total = 0, 0
-    for i, n in enumerate(size):
-        if i > begin and total + n > most:
-            yield begin, i
-            begin, total = i, 0
-        total += int(n)
-    if len(size):
-        yield begin, len(size)
