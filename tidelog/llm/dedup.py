@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textvec
-from .common import drop, new_path, written
-from .quality import _slices as slices
+from .common import drop, new_path, slices, small_batches, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -41,6 +40,8 @@ CELLS = 1 << 22
 SEGMENTS = 64
 #: Texts in a block of a large bucket.
 BLOCK = 128
+#: Parts that the edges of one id are dealt into.
+SALTS = 16
 #: Bits of the filter that picks the texts to compare: 16 a text, at most 2**27 (16 MB).
 MAX_BITS = 1 << 27
 _PAIR = "na long, nb long"
@@ -406,13 +407,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     spark = edges.sparkSession
     now = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
     path, before = None, None
+
+    def to_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+        """(u, v, m): rows with their u's least neighbour. A component's centre has most of its edges, so they are salted."""
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+        return salted.join(least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["u", "salt"])
+
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = to_least(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v")))
+        small = to_least(large, least).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v")))
         old, path = path, new_path(spark, "edges")
         small.distinct().write.parquet(path)
         now = spark.read.parquet(path)
@@ -457,7 +464,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     dealt = dealt.select("bucket", pair.alias("pair"), "na", "nb")
     grouped = dealt.join(sets, ["na", "nb"]).select("bucket", "pair", "na", "nb", "hashes", "weights")
     grouped = grouped.repartition("bucket", "pair").sortWithinPartitions("bucket", "pair", "na", "nb")
-    links = written(_links_in_groups(grouped, threshold), "dedup-links")
+    with small_batches(spark):
+        links = written(_links_in_groups(grouped, threshold), "dedup-links")
 
     least = own.where("na is not null").groupBy("na", "nb").agg(F.min("doc_id").alias("rep"))
     least = written(least, "dedup-texts")
