@@ -20,14 +20,17 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import slices
+
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Chunks in each of the two generations that a worker remembers, and the longest one that it does.
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 150_000
 CACHE_LENGTH = 64
 
 
@@ -61,8 +64,13 @@ class Encoder:
         self.reachable = {t for t in self.ids if self._merged(t) == [t]}
         self.automaton = ahocorasick.Automaton()
         for t in self.reachable:
-            self.automaton.add_word(t, t)
+            self.automaton.add_word(t, (t, len(t) - 1))
         self.automaton.make_automaton()
+        #: The longest token that is a proper prefix of each token.
+        self.shorter = {t: next((t[:k] for k in range(len(t) - 1, 0, -1) if t[:k] in self.reachable), None) for t in self.reachable}
+        self.alphabet = frozenset(t for t in self.reachable if len(t) == 1)
+        self.id_texts = [str(i) for i in range(len(self.pieces))]
+        self.surfaces = [self._surface(i) for i in range(len(self.pieces))]
         self.compatible = lru_cache(maxsize=1 << 18)(self._compatible)
         inner = any(MARK in t.lstrip(MARK) for t in self.reachable)
         self.chunks = re.compile("(?s).+") if inner else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -84,47 +92,41 @@ class Encoder:
         return parts
 
     def _compatible(self, left: str, right: str) -> bool:
-        return self._merged(left + right) == [left, right]
+        both = left + right
+        return both not in self.reachable and self._merged(both) == [left, right]
 
     def _segments(self, text: str) -> list[str]:
         """The tokens of a text whose characters are all in the vocabulary."""
         n = len(text)
-        # Matching tokens by start, the longest last.
-        starts: list[list[str]] = [[] for _ in range(n)]
-        for end, token in self.automaton.iter(text):
-            starts[end - len(token) + 1].append(token)
-        for s in starts:
-            s.sort(key=len)
-        failed = bytearray(n // 8 + 1)
+        longest: list[str | None] = [None] * n
+        for end, (token, back) in self.automaton.iter(text):
+            longest[end - back] = token  # ends rise, so the longest comes last
+        failed, shorter, compatible = bytearray(n // 8 + 1), self.shorter, self.compatible
         tokens: list[str] = []
-        tried: list[int] = []  # for each token, how many shorter ones are left at its start
-        at, left = 0, len(starts[0]) if n else 0
-        while at < n:
-            options, before = starts[at], tokens[-1] if tokens else None
-            while left:
-                left -= 1
-                token = options[left]
+        before, at, token = None, 0, longest[0]
+        while True:
+            while token is not None:
                 end = at + len(token)
-                if failed[end >> 3] >> (end & 7) & 1:
-                    continue
-                if before is None or self.compatible(before, token):
-                    tokens.append(token)
-                    tried.append(left)
-                    at = end
-                    left = len(starts[at]) if at < n else 0
+                if not failed[end >> 3] >> (end & 7) & 1 and (before is None or compatible(before, token)):
                     break
-            else:
+                token = shorter[token]
+            if token is None:  # no way on from here: step back to the token before
                 failed[at >> 3] |= 1 << (at & 7)
-                if not tokens:
-                    raise AssertionError("no segmentation")  # single characters are always tokens
-                at -= len(tokens.pop())
-                left = tried.pop()
-        return tokens
+                token = tokens.pop()
+                at -= len(token)
+                before, token = tokens[-1] if tokens else None, shorter[token]
+                continue
+            tokens.append(token)
+            if end == n:
+                return tokens
+            before, at, token = token, end, longest[end]
 
     def _chunk(self, text: str) -> list[int]:
         """Ids of one chunk; characters outside the vocabulary stand alone."""
-        out: list[int] = []
         ids = self.ids
+        if self.alphabet.issuperset(text):
+            return [ids[t] for t in self._segments(text)] if text else []
+        out: list[int] = []
         for known, part in self._runs(text):
             if known:
                 out += [ids[t] for t in self._segments(part)]
@@ -149,7 +151,7 @@ class Encoder:
 
     def decode(self, ids: list[int]) -> str:
         """Like the library's decode(ids): bytes join to UTF-8, the dummy prefix goes, control ids give nothing."""
-        out = b"".join(self._surface(i) for i in ids)
+        out = b"".join([self.surfaces[i] for i in ids])
         return self._finish(out)
 
     def _surface(self, i: int) -> bytes:
@@ -173,7 +175,7 @@ class Encoder:
             found = self.older.get(chunk)
             if found is None:
                 ids = self._chunk(chunk)
-                found = len(ids), ",".join(map(str, ids)), b"".join(map(self._surface, ids))
+                found = len(ids), ",".join([self.id_texts[i] for i in ids]), b"".join([self.surfaces[i] for i in ids])
             if len(chunk) <= CACHE_LENGTH:
                 if len(self.cache) >= CACHE_CHUNKS:
                     self.cache, self.older = {}, self.cache
@@ -182,15 +184,22 @@ class Encoder:
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """(number of ids, sha256 of the ids as text, sha256 of the decoded text)."""
+        n, ids, decoded = self.encoded(text)
+        return n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+    def encoded(self, text: str | None) -> tuple[int, str, str]:
+        """(number of ids, the ids joined by commas, the text decoded from them)."""
         found = list(map(self.lookup, self.chunks.findall(self._escaped(text or ""))))
-        n = sum(x[0] for x in found)
         ids = ",".join([x[1] for x in found])
-        decoded = self._finish(b"".join([x[2] for x in found]))
-        return n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        return sum([x[0] for x in found]), ids, self._finish(b"".join([x[2] for x in found]))
 
-    def ids_of(self, text: str | None) -> list[int]:
+    def ids_of(self, text: str | None) -> np.ndarray:
         joined = ",".join([self.lookup(c)[1] for c in self.chunks.findall(self._escaped(text or ""))])
-        return list(map(int, joined.split(","))) if joined else []
+        return _ids(joined)
+
+
+def _ids(joined: str) -> np.ndarray:
+    return np.fromstring(joined, dtype=np.int32, sep=",") if joined else np.empty(0, dtype=np.int32)
 
 
 _encoders: dict[bytes, Encoder] = {}
@@ -226,12 +235,17 @@ def encode_documents(docs: DataFrame, model: bytes, with_ids: bool = False, text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder_of(shared.value)
         for b in batches:
-            texts = b.column(b.schema.get_field_index(text)).to_pylist()
-            found = [e.digest(t) for t in texts]
-            columns = [b.column(b.schema.get_field_index(f.name)) for f in kept]
-            columns += [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.string()), pa.array([x[2] for x in found], pa.string())]
-            if with_ids:
-                columns.append(pa.array([e.ids_of(t) for t in texts], pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
+            texts = b.column(b.schema.get_field_index(text))
+            for a, z in slices(texts):
+                part = b.slice(a, z - a)
+                found = [e.encoded(t) for t in texts.slice(a, z - a).to_pylist()]
+                columns = [part.column(b.schema.get_field_index(f.name)) for f in kept]
+                columns.append(pa.array([n for n, _, _ in found], pa.int64()))
+                columns += [pa.array([hashlib.sha256(x[i].encode()).hexdigest() for x in found], pa.string()) for i in (1, 2)]
+                if with_ids:
+                    limits = np.concatenate([[0], np.cumsum([n for n, _, _ in found])])
+                    values = _ids(",".join([x[1] for x in found if x[0]]))
+                    columns.append(pa.ListArray.from_arrays(pa.array(limits, pa.int32()), pa.array(values, pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
     return docs.select(*[f"`{f.name}`" for f in kept], text).mapInArrow(run, schema)
