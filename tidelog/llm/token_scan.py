@@ -127,4 +127,6 @@ def count_tokens(docs: DataFrame, model: bytes, eod: int, width: int = 2, block:
     """(doc_id, n_tokens) of every row: writes flat token files, scans them, and names the documents by the manifest."""
     manifest = write_token_files(docs, model, eod, width)
     found = stitch(scan_blocks(manifest.select("file", "size").distinct(), eod, width, block))
-    return manifest.select("doc_id", "file", "ordinal").join(found.select("file", "ordinal", "n_tokens"), ["file", "ordinal"]).select("doc_id", "n_tokens")
+    # Both sides grow with the documents; paths compress so well that their shuffled size would pass for a small table.
+    counts = found.select("file", "ordinal", "n_tokens").hint("merge")
+    return manifest.select("doc_id", "file", "ordinal").hint("merge").join(counts, ["file", "ordinal"]).select("doc_id", "n_tokens")
