@@ -411,7 +411,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     def to_least(rows: DataFrame, least: DataFrame) -> DataFrame:
         """(u, v, m): rows with their u's least neighbour. A component's centre has most of its edges, so they are salted."""
         salted = rows.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-        return salted.join(least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["u", "salt"])
+        return salted.join(least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge"), ["u", "salt"])
 
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
