@@ -26,6 +26,15 @@ def test_wording_decides():
     assert _one("x" * 10_000 + ". " + licenses.TEMPLATES["CC-BY-NC-4.0"][0] + " " + "y" * 10_000) == [("CC-BY-NC-4.0", 0)]
 
 
+def test_headers_of_long_texts():
+    for name, i in (("Apache-2.0", 0), ("Apache-2.0", 1), ("MIT", 2)):
+        header = licenses.TEMPLATES[name][i] + "\n"
+        for before in ("", prose(3, 3000) + ".\n"):
+            hit = licenses.Scanner().scan(before + header + ". ".join(prose(s, 40) for s in range(100)))
+            assert [(h["license"], h["wording"]) for h in hit] == [(name, i)]
+            assert hit[0]["begin"] == len(before) and hit[0]["end"] <= len(before + header)
+
+
 def test_rows(spark, docs, none):
     rows = [(1, "a\n" + licenses.TEMPLATES["Apache-2.0"][0]), (1, "a\n" + licenses.TEMPLATES["Apache-2.0"][0]), (2, None), (3, ""), (None, licenses.TEMPLATES["MIT"][0])]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -138,7 +138,7 @@ class Scanner:
         out = []
         for a, z in blocks(text):
             begin = a
-            for part in [text[i : i + PIECE] for i in range(a, z, PIECE)]:
+            for part in [text[i : min(i + PIECE, z)] for i in range(a, z, PIECE)]:
                 best = None
                 for reduction, i in self.reductions(part):
                     if reduction < REDUCTION:
