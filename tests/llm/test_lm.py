@@ -72,3 +72,13 @@ def test_model_beats_base_and_is_bounded(spark):
         assert s[0] > s[1] * 0.75  # logarithms: less negative
     small, _ = lm.train(df, max_bits=1 << 14)
     assert 8 * len(small.filter.bits) <= 1 << 14
+
+
+def test_stored_filter_leaves_nothing_out(spark, docs):
+    # A filter too large to broadcast gives the scores of a broadcast one, for tokens seen once as well.
+    for order in (2, 3):
+        key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score)
+        want, got = (sorted(lm.score_corpus(docs, order=order, max_bits=b).collect(), key=key) for b in (lm.MAX_BITS, 1 << 12))
+        assert got == want
+    model, _ = lm.train(docs, max_bits=1 << 12)
+    assert model.stored and 8 * len(model.filter.bits) <= 1 << 12

@@ -3,16 +3,15 @@
 Counts of all n-grams (up to ``ORDER``) of the training documents are quantised,
 level 1 + floor(log2(count)), and an n-gram of level q puts the q keys (n-gram, 1)
 .. (n-gram, q) into a Bloom filter. A count is read by probing levels until one
-is missing. The filter's size follows the number of keys up to ``MAX_BITS``, its
-proven bound, and it is broadcast to the workers.
+is missing. The filter's size follows the number of keys, ``BITS_A_KEY`` each; no
+n-gram is left out at any size.
 
-Were there more keys than ``MAX_BITS`` can hold at ``BITS_A_KEY``, the filter takes
-n-grams from the lowest level at which they fit; the rest back off to the shorter
-n-gram. (A filter filled beyond that answers yes to everything.) The histogram
-of levels decides, over all n-grams; on inputs below some hundred million n-grams
-nothing is left out. Counts of single tokens, and ``base_score``, stay exact:
-tokens of at least ``1 / FREQUENT`` of all (there can't be more than ``FREQUENT`` of
-them) are broadcast, all others are looked up by a shuffle.
+A filter of up to ``MAX_BITS`` is broadcast to the workers. A larger one stays in
+files, a row a segment, and is probed by a shuffle: slices of texts ask each
+segment for the levels of their n-grams. Both ways read the same bits, so scores
+don't depend on the way. Counts behind ``base_score`` are exact: tokens of at least
+``1 / FREQUENT`` of all (there can't be more than ``FREQUENT`` of them) are broadcast,
+all others are looked up by a shuffle.
 
 Probability of a token after a context: (c(context token) + K * P(token after the
 shorter context)) / (c(context) + K), down to (c(token) + 0.1) / (N + 0.1 (V + 1)).
@@ -21,20 +20,22 @@ shorter context)) / (c(context) + K), down to (c(token) + 0.1) / (N + 0.1 (V + 1
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textvec
-from .common import crc_of, slices, small_batches, written
+from .common import crc_of, new_path, slices, small_batches, written
 
 ORDER = 2
 BITS_A_KEY = 10
 PROBES = 4
+#: The largest filter that is broadcast.
 MAX_BITS = 1 << 30
 #: The filter is built and addressed in segments by the first bits of a hash.
 SEGMENTS = 1024
@@ -223,8 +224,10 @@ class Filter:
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """Level of each n-gram by repeated probes: 0 if it isn't there."""
-        segment, short = _segmented(h)
-        out = np.zeros(len(h), dtype=np.int64)
+        return self.levels_at(*_segmented(h))
+
+    def levels_at(self, segment: np.ndarray, short: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(short), dtype=np.int64)
         live = np.flatnonzero(self.size[segment] > 0)
         q = 1
         while len(live) and q < 63:
@@ -241,8 +244,18 @@ class Filter:
         return out
 
 
-def _filter(counts: DataFrame, max_bits: int) -> Filter:
-    """Builds every segment's bits from its counts on the executors, and gathers them, max_bits in all."""
+def _joined(rows: list[tuple[int, bytes]]) -> Filter:
+    """A filter of the segments in ``rows``; the others are empty."""
+    offset, width = np.zeros(SEGMENTS, dtype=np.int64), np.zeros(SEGMENTS, dtype=np.int64)
+    at = 0
+    for segment, value in rows:
+        offset[segment], width[segment] = at, 8 * len(value)
+        at += 8 * len(value)
+    return Filter(np.frombuffer(b"".join(v for _, v in rows) or b"\0", dtype=np.uint8), offset, width)
+
+
+def _filter(counts: DataFrame, max_bits: int) -> tuple[Filter, str | None]:
+    """Builds every segment's bits from its counts on the executors: gathered up to max_bits in all, else an empty filter and the path of the rows."""
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -254,10 +267,8 @@ def _filter(counts: DataFrame, max_bits: int) -> Filter:
     by_level = np.zeros(64, dtype=np.int64)
     for r in seen.collect():  # 64 rows
         by_level[r["level"]] = r["n"]
-    least = 1
-    while least < 63 and int((by_level * np.arange(64))[least:].sum()) * BITS_A_KEY > max_bits:
-        least += 1
-    most = max_bits // SEGMENTS
+    # Each segment is rounded up to 64 bits.
+    fits = int((by_level * np.arange(64)).sum()) * BITS_A_KEY + 64 * SEGMENTS <= max_bits
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own = None, []
@@ -265,7 +276,7 @@ def _filter(counts: DataFrame, max_bits: int) -> Filter:
         def row() -> pa.RecordBatch:
             short, q = np.concatenate([x for x, _ in own]), np.concatenate([y for _, y in own])
             keys = int(q.sum())
-            size = min(most, max(64, -(-keys * BITS_A_KEY // 64) * 64))
+            size = max(64, -(-keys * BITS_A_KEY // 64) * 64)
             bits = np.zeros(size, dtype=bool)
             for n in range(1, int(q.max(initial=0)) + 1):
                 for at in _positions(short[q >= n], n, size):
@@ -280,23 +291,19 @@ def _filter(counts: DataFrame, max_bits: int) -> Filter:
                         yield row()
                     now, own = s, []
                 short, n = _unpack(h, c)
-                q = level(n)
-                own.append((short[q >= least], q[q >= least]))
+                own.append((short, level(n)))
         if now is not None:
             yield row()
 
     placed = counts.select("segment", "hashes", "counts").repartition("segment").sortWithinPartitions("segment")
-    offset, width = np.zeros(SEGMENTS, dtype=np.int64), np.zeros(SEGMENTS, dtype=np.int64)
-    parts, at = [], 0
-    # One row a segment, max_bits in all.
     with small_batches(counts.sparkSession):
-        rows = placed.mapInArrow(build, "segment int, bits binary").collect()
-    for r in rows:
-        value = bytes(r["bits"])
-        parts.append(value)
-        offset[r["segment"]], width[r["segment"]] = at, 8 * len(value)
-        at += 8 * len(value)
-    return Filter(np.frombuffer(b"".join(parts) or b"\0", dtype=np.uint8), offset, width)
+        bits = placed.mapInArrow(build, "segment int, bits binary")
+        if not fits:
+            path = new_path(counts.sparkSession, "lm-filter")
+            bits.write.parquet(path)
+            return _joined([]), path
+        # One row a segment, max_bits in all.
+        return _joined([(r["segment"], bytes(r["bits"])) for r in bits.collect()]), None
 
 
 # --- scores ---------------------------------------------------------------------------------------------------
@@ -310,7 +317,8 @@ class Model:
     distinct: int
     frequent: np.ndarray  # short hash with segment, sorted
     frequent_counts: np.ndarray
-    segments: int  # of the lookups of the other tokens
+    segments: int  # of the lookups of the other tokens, and of n-grams where the filter is stored
+    stored: str | None = None  # path of the filter's segments where it is too large to broadcast
 
     @property
     def floor(self) -> float:
@@ -347,7 +355,8 @@ def train(docs: DataFrame, order: int = ORDER, max_bits: int = MAX_BITS) -> tupl
     rank = np.argsort(h)
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     segments = min(SEGMENTS, 1 << max(4, (size >> 25).bit_length()))
-    return Model(_filter(counts, max_bits), order, total, distinct, h[rank], found.column(1).to_numpy()[rank], segments), single
+    bits, stored = _filter(counts, max_bits)
+    return Model(bits, order, total, distinct, h[rank], found.column(1).to_numpy()[rank], segments, stored), single
 
 
 def _log_probabilities(m: Model, h: np.ndarray, bounds: np.ndarray, single: np.ndarray, back: np.ndarray) -> np.ndarray:
@@ -366,6 +375,125 @@ def _log_probabilities(m: Model, h: np.ndarray, bounds: np.ndarray, single: np.n
     return np.log10(np.maximum(p, 1e-300))
 
 
+def _nodes(h: np.ndarray, bounds: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of each text's tokens in order."""
+    place = (np.arange(len(h)) - bounds[:-1][owner]).astype(np.uint64)
+    return [textvec.mix(np.add.reduceat(textvec.mix(h + textvec.mix(place + np.uint64(k))), bounds[:-1])).view(np.int64) for k in (11, 23)]
+
+
+@dataclass
+class Answers:
+    """Levels of the sorted n-grams that a slice of texts asked for, read like a filter."""
+
+    hashes: np.ndarray
+    found: np.ndarray
+
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        return self.found[np.searchsorted(self.hashes, h)]
+
+
+def _asked(h: np.ndarray, bounds: np.ndarray, order: int) -> np.ndarray:
+    """All n-grams whose levels ``_log_probabilities`` reads, sorted."""
+    longer = [ngram_hashes(h, bounds, n) for n in range(2, order + 1)] + [context_hashes(h, bounds, n) for n in range(2, order)]
+    return np.unique(np.concatenate([h, [BEGIN], *longer]))
+
+
+def _stored_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """(na, nb, looked): the score of each text, with the stored filter's segments probed by shuffle.
+
+    Slices of texts are written with their requests, a row a part of the filter;
+    answers, one byte an n-gram, meet their slice again under its number.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    shape = "slice long, part int, first int, value binary"
+    names, kinds = ["slice", "part", "first", "value"], [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * 4, kinds, strict=True)], names=names)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pickle
+
+        import zstandard
+
+        m, pack = shared.value, zstandard.ZstdCompressor(level=1)
+        shift = np.uint64(SEGMENTS.bit_length() - 1 + _SHORT - (m.segments.bit_length() - 1))
+        number = TaskContext.get().partitionId() << 32
+        for b in batches:
+            for a, z in slices(b.column(0)):
+                texts = list(dict.fromkeys(b.column(0).slice(a, z - a).to_pylist()))
+                key = _full(*_segmented(_asked(*tokens(texts), m.order)))
+                cut = np.searchsorted((key >> shift).astype(np.int64), np.arange(m.segments + 1))
+                rows = [(number, -1, -1, pack.compress(pickle.dumps(texts)))]
+                for s in np.flatnonzero(np.diff(cut)):
+                    rows.append((number, int(s), -1, pack.compress(np.diff(key[cut[s] : cut[s + 1]], prepend=np.uint64(0)).tobytes())))
+                yield batch(rows)
+                number += 1
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows by part, the filter's segments first."""
+        import zstandard
+
+        pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        now, own, bits = None, [], None
+        for b in batches:
+            out = []
+            for number, part, first, value in zip(*[x.to_pylist() for x in b.columns], strict=True):
+                if part != now:
+                    now, own, bits = part, [], None
+                if first >= 0:
+                    own.append((first, value))
+                    continue
+                bits = bits or _joined(own)
+                key = np.cumsum(np.frombuffer(unpack.decompress(value), dtype=np.uint64), dtype=np.uint64)
+                found = bits.levels_at((key >> np.uint64(_SHORT)).astype(np.int64), key & np.uint64((1 << _SHORT) - 1))
+                out.append((number, part, -1, pack.compress(found.astype(np.uint8).tobytes())))
+            yield batch(out)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows by slice: its texts, then the answers in the order of the parts."""
+        import pickle
+
+        import zstandard
+
+        m, unpack = shared.value, zstandard.ZstdDecompressor()
+        now, texts, found = None, [], []
+
+        def row() -> pa.RecordBatch:
+            h, bounds = tokens(texts)
+            distinct, back = np.unique(h, return_inverse=True)
+            levels = Answers(_asked(h, bounds, m.order), np.frombuffer(b"".join(found), dtype=np.uint8).astype(np.int64))
+            logp = _log_probabilities(replace(m, filter=levels), h, bounds, levels.levels(distinct), back)
+            owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
+            arrays = [*_nodes(h, bounds, owner), np.bincount(owner, weights=logp, minlength=len(texts))]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["na", "nb", "looked"])
+
+        for b in batches:
+            for number, part, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist(), strict=True):
+                if number != now:
+                    if now is not None:
+                        yield row()
+                    now, texts, found = number, [], []
+                if part < 0:
+                    texts = pickle.loads(unpack.decompress(value))
+                else:
+                    found.append(unpack.decompress(value))
+        if now is not None:
+            yield row()
+
+    ratio = SEGMENTS // model.segments
+    with small_batches(spark):
+        rows = written(docs.select("text").mapInArrow(ask, shape), "lm-requests")
+        bits = spark.read.parquet(model.stored).select(F.lit(-1).cast("long").alias("slice"), (F.col("segment") / F.lit(ratio)).cast("int").alias("part"), F.col("segment").alias("first"), F.col("bits").alias("value"))
+        both = bits.unionByName(rows.where("part >= 0")).repartition("part").sortWithinPartitions("part", F.desc("first"))
+        levels = written(both.mapInArrow(answer, shape), "lm-levels")
+        back = rows.where("part < 0").unionByName(levels).repartition("slice").sortWithinPartitions("slice", "part")
+        scores = written(back.mapInArrow(score, "na long, nb long, looked double"), "lm-looked")
+    # Equal texts in several slices have the same score.
+    return scores.groupBy("na", "nb").agg(F.first("looked").alias("looked"))
+
+
 def score_documents(docs: DataFrame, model: Model, single: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of doc_id, text.
 
@@ -400,15 +528,17 @@ def score_documents(docs: DataFrame, model: Model, single: DataFrame) -> DataFra
                 often = is_often[back]
                 logs = np.zeros(len(full))
                 logs[is_often] = np.log10(m.frequent_counts[at[is_often]] + 0.1)
-                logp = _log_probabilities(m, h, bounds, m.filter.levels(distinct), back)
-                place = (np.arange(len(h)) - bounds[:-1][owner]).astype(np.uint64)
-                node = [textvec.mix(np.add.reduceat(textvec.mix(h + textvec.mix(place + np.uint64(k))), bounds[:-1])).view(np.int64) for k in (11, 23)]
+                node = _nodes(h, bounds, owner)
                 known = np.bincount(owner, weights=often, minlength=len(n)).astype(np.int64)
                 base = np.bincount(owner, weights=logs[back], minlength=len(n)) - n * np.log10(m.floor)
-                total = np.bincount(owner, weights=logp, minlength=len(n))
                 none = len(n)
+                if m.stored:
+                    total = pa.nulls(none, pa.float64())
+                else:
+                    logp = _log_probabilities(m, h, bounds, m.filter.levels(distinct), back)
+                    total = pa.array(np.bincount(owner, weights=logp, minlength=none))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(a, z - a), b.column(1).slice(a, z - a), *[pa.array(x) for x in node], pa.array(n), pa.array(known), pa.array(base), pa.array(total), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())],
+                    [b.column(0).slice(a, z - a), b.column(1).slice(a, z - a), *[pa.array(x) for x in node], pa.array(n), pa.array(known), pa.array(base), total, pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())],
                     names=schema.names,
                 )
                 # Requests: for each part of the hashes, which text has which rare token; equal texts ask once.
@@ -476,6 +606,8 @@ def score_documents(docs: DataFrame, model: Model, single: DataFrame) -> DataFra
     sums = sums.groupBy("na", "nb").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs"))
     texts = rows.where("part is null").drop("part", "request")
     out = texts.join(sums, ["na", "nb"], "left")
+    if model.stored:
+        out = out.drop("score").join(_stored_scores(docs, model).withColumnRenamed("looked", "score"), ["na", "nb"], "left")
     return out.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
