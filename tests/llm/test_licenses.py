@@ -35,6 +35,17 @@ def test_headers_of_long_texts():
             assert hit[0]["begin"] == len(before) and hit[0]["end"] <= len(before + header)
 
 
+def test_several_licenses_in_a_block():
+    names = sorted(licenses.TEMPLATES)
+    assert _one("Released under the MIT License. Licensed under the Apache License, Version 2.0.") == [("MIT", 0), ("Apache-2.0", 0)]
+    assert _one(" ".join(licenses.TEMPLATES[n][0] for n in names)) == [(n, 0) for n in names]
+    assert _one((licenses.TEMPLATES["MIT"][0] + " ") * 30) == [("MIT", 0)] * 30
+    # A short notice between hinted sentences that no template says.
+    text = "Copyright notices of other people follow, and a warranty is not given by any of them. " * 5
+    hit = licenses.Scanner().scan(text + licenses.TEMPLATES["MIT"][1] + " " + text)
+    assert [(h["license"], h["wording"], h["begin"], h["end"]) for h in hit] == [("MIT", 1, len(text), len(text) + 30)]
+
+
 def test_rows(spark, docs, none):
     rows = [(1, "a\n" + licenses.TEMPLATES["Apache-2.0"][0]), (1, "a\n" + licenses.TEMPLATES["Apache-2.0"][0]), (2, None), (3, ""), (None, licenses.TEMPLATES["MIT"][0])]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -1,16 +1,19 @@
 """License scans by conditional compression.
 
-A text's sentences that hold a word licenses use make candidate blocks. Each block is
-compressed alone and with each template as a raw zstandard dictionary; the more a
-template says what the block says, the more the size falls. Templates are ranked by
-that reduction, and the best ones are confirmed by exact wording: words of the
-template missing from the block, changed, or put in.
+A text's sentences that hold a word licenses use make candidate blocks. Where a block
+has enough of a template's words in order, the words matched are compressed alone and
+with the template as a raw zstandard dictionary; the more the template says what they
+say, the more the size falls. Matches of too small a reduction are left out, the rest
+ranked by exact wording: words of the template that are there, less those missing,
+changed or put in. The best match takes its range of words, then the best of those
+that don't overlap it, and what lies between is scanned again until nothing is found.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -71,10 +74,12 @@ TEMPLATES: dict[str, list[str]] = {
 }
 #: Words that make a sentence a candidate.
 HINT = r"(?i)licen[cs]e|licensing|copyright|\(c\) ?\d{4}|spdx|gnu |creative commons|\bcc0\b|\bcc by|permission|redistribut|free software|warrant|apache|mozilla"
-#: Sentences without a hint that may stand inside a block; the longest piece of a block that is compressed at once.
+#: Sentences without a hint that may stand inside a block; the longest block of several sentences.
 GAP, PIECE = 1, 6000
 #: A winner's least reduction, and the least share of the template's words that the block has in order.
 REDUCTION, COVERAGE = 0.15, 0.85
+#: Words of text that a match may stretch over, for each word of the template: about what REDUCTION lets through.
+SPREAD = 7
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?!\s|$)[^.!?\n]*)*(?:[.!?]+|\n|$)")
 _WORD = re.compile(r"[0-9A-Za-z]+(?:[.\-][0-9A-Za-z]+)*")
 
@@ -112,55 +117,84 @@ class Scanner:
                 raw = zstandard.ZstdCompressionDict(" ".join(t.split()).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 self.templates.append((name, i, words(t), zstandard.ZstdCompressor(level=3, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False)))
 
-    def reductions(self, block: str) -> list[tuple[float, int]]:
-        """(share of the size that goes, template number), most first."""
-        data = " ".join(block.split()).encode("utf-8", "replace")
-        alone = len(self.plain.compress(data))
-        found = [(1 - len(t[3].compress(data)) / alone, i) for i, t in enumerate(self.templates)]
-        return sorted(found, key=lambda x: (-x[0], x[1]))
-
-    def confirm(self, block: str, template: int) -> tuple[float, list[str]]:
-        """(share of the template's words that the block has in order, what differs inside the match)."""
-        want, have = self.templates[template][2], words(block)
-        matcher = difflib.SequenceMatcher(None, want, have, autojunk=False)
-        same = [m for m in matcher.get_matching_blocks() if m.size]
-        if not same:
-            return 0.0, []
-        begin, end = same[0].b, same[-1].b + same[-1].size
-        changes = []
-        for op, a, b, c, d in difflib.SequenceMatcher(None, want, have[begin:end], autojunk=False).get_opcodes():
-            if op != "equal":
-                changes.append(f"-{' '.join(want[a:b])} +{' '.join(have[begin + c : begin + d])}")
-        return sum(m.size for m in same) / len(want), changes
+    def reduction(self, part: str, template: int) -> float:
+        """Share of the part's compressed size that goes with the template."""
+        data = " ".join(part.split()).encode("utf-8", "replace")
+        return 1 - len(self.templates[template][3].compress(data)) / len(self.plain.compress(data))
+
+    def ranges(self, have: list[str], low: int, high: int, template: int) -> list[tuple[int, int, int]]:
+        """(begin, end, words in order) of places in have[low:high] that cover enough of the template; they may overlap."""
+        want = self.templates[template][2]
+        least, counted = COVERAGE * len(want), Counter(want)
+        # Words put in beyond this make the reduction too small. Chunks overlap by it.
+        span = SPREAD * len(want) + 20
+        todo = [(i, min(i + 2 * span, high)) for i in range(low, max(low + 1, high - span), span)]
+        matcher, out = difflib.SequenceMatcher(None, [], want, autojunk=False), []
+        while todo:
+            a, z = todo.pop()
+            if sum((counted & Counter(have[a:z])).values()) < least:
+                continue
+            matcher.set_seq1(have[a:z])
+            same = [m for m in matcher.get_matching_blocks() if m.size]
+            anchor, total = max(same, key=lambda m: m.size), sum(m.size for m in same)
+            if total < least:
+                begin, end = anchor.a, anchor.a + anchor.size
+            else:
+                # Words far from the rest that the coverage doesn't need are not the notice's.
+                while len(same) > 1 and total - same[0].size >= least and same[1].a - same[0].a > same[1].b - same[0].b + same[0].size:
+                    total -= same.pop(0).size
+                while len(same) > 1 and total - same[-1].size >= least and same[-1].a - same[-2].a > same[-1].b - same[-2].b + same[-1].size:
+                    total -= same.pop().size
+                begin, end = same[0].a, same[-1].a + same[-1].size
+                out.append((a + begin, a + end, total))
+            todo += [(a, a + begin), (a + end, z)]
+        return out
 
     def scan(self, text: str) -> list[dict]:
-        """Confirmed winners: at most one for each block and place in it."""
+        """All confirmed matches of which no two overlap, in the order of the text."""
         out = []
         for a, z in blocks(text):
-            begin = a
-            for part in [text[i : min(i + PIECE, z)] for i in range(a, z, PIECE)]:
-                best = None
-                for reduction, i in self.reductions(part):
-                    if reduction < REDUCTION:
-                        break
-                    coverage, changes = self.confirm(part, i)
-                    # Most words confirmed, then the least changed, the longer template, the greater reduction.
-                    key = (coverage >= COVERAGE, -len(changes), len(self.templates[i][2]), reduction, -i)
-                    if coverage >= COVERAGE and (best is None or key > best[0]):
-                        best = (key, i, reduction, coverage, changes)
-                if best:
-                    _, i, reduction, coverage, changes = best
-                    out.append({"begin": begin, "end": begin + len(part), "license": self.templates[i][0], "wording": self.templates[i][1],
-                                "reduction": reduction, "coverage": coverage, "changes": changes})
-                begin += len(part)
-        return out
+            at = [(a + m.start(), a + m.end()) for m in _WORD.finditer(text[a:z])]
+            have = [text[x:y].lower() for x, y in at]
+            counted = Counter(have)
+            likely = [i for i, t in enumerate(self.templates) if sum((Counter(t[2]) & counted).values()) >= COVERAGE * len(t[2])]
+            free = [(0, len(have))] if likely else []
+            while free:
+                found = []
+                for low, high in free:
+                    for i in likely:
+                        want = self.templates[i][2]
+                        for begin, end, total in self.ranges(have, low, high, i):
+                            reduction = self.reduction(text[at[begin][0] : at[end - 1][1]], i)
+                            if reduction < REDUCTION:
+                                continue
+                            codes = [c for c in difflib.SequenceMatcher(None, want, have[begin:end], autojunk=False).get_opcodes() if c[0] != "equal"]
+                            changes = [f"-{' '.join(want[c[1] : c[2]])} +{' '.join(have[begin + c[3] : begin + c[4]])}" for c in codes]
+                            # Most words confirmed less words changed, the longer template, the greater reduction.
+                            key = (total - sum(max(c[2] - c[1], c[4] - c[3]) for c in codes), len(want), reduction, -i)
+                            found.append((key, begin, end, i, reduction, total / len(want), changes))
+                taken: list[tuple[int, int]] = []
+                for _, begin, end, i, reduction, coverage, changes in sorted(found, key=lambda x: (x[0], -x[1]), reverse=True):
+                    if all(end <= x or y <= begin for x, y in taken):
+                        taken.append((begin, end))
+                        out.append({"begin": at[begin][0], "end": at[end - 1][1], "license": self.templates[i][0], "wording": self.templates[i][1],
+                                    "reduction": reduction, "coverage": coverage, "changes": changes})
+                # What a better match cut off may hold a match still.
+                rest = []
+                for low, high in free:
+                    own = sorted(t for t in taken if low <= t[0] < high)
+                    if own:
+                        ends = [low, *[e for _, e in own]]
+                        rest += [(e, b) for e, b in zip(ends, [*[b for b, _ in own], high], strict=True) if b > e]
+                free = rest
+        return sorted(out, key=lambda x: x["begin"])
 
 
 SHAPE = "begin long, end long, license string, wording int, reduction double, coverage double, changes array<string>"
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, begin, end, license, wording, reduction, coverage, changes): a row per confirmed block of each whole text.
+    """(key, begin, end, license, wording, reduction, coverage, changes): a row per confirmed match in each whole text.
 
     begin and end count characters. Texts that are null, empty or without a hint
     give no rows; the hint is looked for in Spark, so only the rest reach Python.
