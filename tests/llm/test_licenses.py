@@ -46,6 +46,14 @@ def test_several_licenses_in_a_block():
     assert [(h["license"], h["wording"], h["begin"], h["end"]) for h in hit] == [("MIT", 1, len(text), len(text) + 30)]
 
 
+def test_no_edge_cuts_a_notice():
+    line = "Every copyright belongs to whoever wrote it. "
+    bsd, bare = licenses.TEMPLATES["BSD-3-Clause"][1], licenses.TEMPLATES["Apache-2.0"][1].replace(".", "")
+    for n in range(5300, 6100, 150):
+        for text, name in ((line * (n // len(line)) + bsd + " " + line * 200, "BSD-3-Clause"), (prose(4, 2000)[:n] + " " + bare + " " + prose(5, 2000), "Apache-2.0")):
+            assert [h["license"] for h in licenses.Scanner().scan(text)] == [name]
+
+
 def test_rows(spark, docs, none):
     rows = [(1, "a\n" + licenses.TEMPLATES["Apache-2.0"][0]), (1, "a\n" + licenses.TEMPLATES["Apache-2.0"][0]), (2, None), (3, ""), (None, licenses.TEMPLATES["MIT"][0])]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -74,8 +74,8 @@ TEMPLATES: dict[str, list[str]] = {
 }
 #: Words that make a sentence a candidate.
 HINT = r"(?i)licen[cs]e|licensing|copyright|\(c\) ?\d{4}|spdx|gnu |creative commons|\bcc0\b|\bcc by|permission|redistribut|free software|warrant|apache|mozilla"
-#: Sentences without a hint that may stand inside a block; the longest block of several sentences.
-GAP, PIECE = 1, 6000
+#: Sentences without a hint that may stand inside a block.
+GAP = 1
 #: A winner's least reduction, and the least share of the template's words that the block has in order.
 REDUCTION, COVERAGE = 0.15, 0.85
 #: Words of text that a match may stretch over, for each word of the template: about what REDUCTION lets through.
@@ -92,7 +92,7 @@ def blocks(text: str) -> list[tuple[int, int]]:
         if m.end() == m.start():
             continue
         if hint.search(m.group()):
-            if out and gap <= GAP and m.end() - out[-1][0] <= PIECE:
+            if out and gap <= GAP:
                 out[-1][1] = m.end()
             else:
                 out.append([m.start(), m.end()])
