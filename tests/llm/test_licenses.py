@@ -54,6 +54,16 @@ def test_no_edge_cuts_a_notice():
             assert [h["license"] for h in licenses.Scanner().scan(text)] == [name]
 
 
+def test_headers_and_full_texts_are_told_apart():
+    for name in ("AGPL-3.0", "LGPL-2.1", "LGPL-3.0", "GPL-2.0", "GPL-3.0"):
+        for text in (licenses.TEMPLATES[name][1], licenses.TEMPLATES[name][1].replace("This ", "The ")):
+            assert _one(prose(1, 40) + ".\n" + text + " " + prose(2, 400)) == [(name, 1)]
+    assert {"ISC", "Unlicense", "EPL-2.0", "LGPL-2.1"} <= set(licenses.TEMPLATES)
+    for name, text in licenses.BODIES.items():
+        found = _one(prose(1, 40) + ".\n" + text + "\n" + prose(2, 40) + ". Released under the MIT License.")
+        assert found == [(name, len(licenses.TEMPLATES.get(name, []))), ("MIT", 0)]
+
+
 def test_rows(spark, docs, none):
     rows = [(1, "a\n" + licenses.TEMPLATES["Apache-2.0"][0]), (1, "a\n" + licenses.TEMPLATES["Apache-2.0"][0]), (2, None), (3, ""), (None, licenses.TEMPLATES["MIT"][0])]
     df = spark.createDataFrame(rows, "doc_id long, text string")

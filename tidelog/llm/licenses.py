@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .license_bodies import BODIES
+
 # Notices that the licenses, or the bodies that keep them, ask for or are known by.
 TEMPLATES: dict[str, list[str]] = {
     "Apache-2.0": [
@@ -60,8 +62,48 @@ TEMPLATES: dict[str, list[str]] = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either "
         "version 3 of the License, or (at your option) any later version.",
     ],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "LGPL-2.0": [
+        "This work is licensed under the GNU Library General Public License, version 2.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either "
+        "version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ],
+    "ISC": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
+    ],
+    "0BSD": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "EPL-1.0": [
+        "Licensed under the Eclipse Public License, Version 1.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at "
+        "http://www.eclipse.org/legal/epl-v10.html",
+    ],
+    "EPL-2.0": [
+        "Licensed under the Eclipse Public License, Version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "
+        '"Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom '
+        "the Software is furnished to do so, all subject to the following:",
+    ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at "
         "https://mozilla.org/MPL/2.0/.",
@@ -73,7 +115,7 @@ TEMPLATES: dict[str, list[str]] = {
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
 }
 #: Words that make a sentence a candidate.
-HINT = r"(?i)licen[cs]e|licensing|copyright|\(c\) ?\d{4}|spdx|gnu |creative commons|\bcc0\b|\bcc by|permission|redistribut|free software|warrant|apache|mozilla"
+HINT = r"(?i)licen[cs]e|licensing|copyright|\(c\) ?\d{4}|spdx|gnu |creative commons|\bcc0\b|\bcc by|permission|redistribut|free software|warrant|apache|mozilla|unencumbered"
 #: Sentences without a hint that may stand inside a block.
 GAP = 1
 #: A winner's least reduction, and the least share of the template's words that the block has in order.
@@ -112,10 +154,16 @@ class Scanner:
 
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
         self.templates = []
-        for name, texts in (templates or TEMPLATES).items():
-            for i, t in enumerate(texts):
-                raw = zstandard.ZstdCompressionDict(" ".join(t.split()).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                self.templates.append((name, i, words(t), zstandard.ZstdCompressor(level=3, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False)))
+        known = [(name, i, t) for name, texts in (templates or TEMPLATES).items() for i, t in enumerate(texts)]
+        #: Templates before this number are looked for in blocks, the full texts after them in whole texts.
+        self.notices = len(known)
+        if templates is None:
+            known += [(name, len(TEMPLATES.get(name, [])), t) for name, t in BODIES.items()]
+        self.counted = [Counter(words(t)) for _, _, t in known]
+        self.shortest = min((c.total() for c in self.counted[self.notices :]), default=0)
+        for name, i, t in known:
+            raw = zstandard.ZstdCompressionDict(" ".join(t.split()).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            self.templates.append((name, i, words(t), zstandard.ZstdCompressor(level=3, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False)))
 
     def reduction(self, part: str, template: int) -> float:
         """Share of the part's compressed size that goes with the template."""
@@ -124,8 +172,8 @@ class Scanner:
 
     def ranges(self, have: list[str], low: int, high: int, template: int) -> list[tuple[int, int, int]]:
         """(begin, end, words in order) of places in have[low:high] that cover enough of the template; they may overlap."""
-        want = self.templates[template][2]
-        least, counted = COVERAGE * len(want), Counter(want)
+        want, counted = self.templates[template][2], self.counted[template]
+        least = COVERAGE * len(want)
         # Words put in beyond this make the reduction too small. Chunks overlap by it.
         span = SPREAD * len(want) + 20
         todo = [(i, min(i + 2 * span, high)) for i in range(low, max(low + 1, high - span), span)]
@@ -152,43 +200,53 @@ class Scanner:
 
     def scan(self, text: str) -> list[dict]:
         """All confirmed matches of which no two overlap, in the order of the text."""
-        out = []
+        out = self.matches(text, 0, len(text), range(self.notices, len(self.templates))) if len(text) >= COVERAGE * 2 * self.shortest > 0 else []
+        taken = sorted((x["begin"], x["end"]) for x in out)
         for a, z in blocks(text):
-            at = [(a + m.start(), a + m.end()) for m in _WORD.finditer(text[a:z])]
-            have = [text[x:y].lower() for x, y in at]
-            counted = Counter(have)
-            likely = [i for i, t in enumerate(self.templates) if sum((Counter(t[2]) & counted).values()) >= COVERAGE * len(t[2])]
-            free = [(0, len(have))] if likely else []
-            while free:
-                found = []
-                for low, high in free:
-                    for i in likely:
-                        want = self.templates[i][2]
-                        for begin, end, total in self.ranges(have, low, high, i):
-                            reduction = self.reduction(text[at[begin][0] : at[end - 1][1]], i)
-                            if reduction < REDUCTION:
-                                continue
-                            codes = [c for c in difflib.SequenceMatcher(None, want, have[begin:end], autojunk=False).get_opcodes() if c[0] != "equal"]
-                            changes = [f"-{' '.join(want[c[1] : c[2]])} +{' '.join(have[begin + c[3] : begin + c[4]])}" for c in codes]
-                            # Most words confirmed less words changed, the longer template, the greater reduction.
-                            key = (total - sum(max(c[2] - c[1], c[4] - c[3]) for c in codes), len(want), reduction, -i)
-                            found.append((key, begin, end, i, reduction, total / len(want), changes))
-                taken: list[tuple[int, int]] = []
-                for _, begin, end, i, reduction, coverage, changes in sorted(found, key=lambda x: (x[0], -x[1]), reverse=True):
-                    if all(end <= x or y <= begin for x, y in taken):
-                        taken.append((begin, end))
-                        out.append({"begin": at[begin][0], "end": at[end - 1][1], "license": self.templates[i][0], "wording": self.templates[i][1],
-                                    "reduction": reduction, "coverage": coverage, "changes": changes})
-                # What a better match cut off may hold a match still.
-                rest = []
-                for low, high in free:
-                    own = sorted(t for t in taken if low <= t[0] < high)
-                    if own:
-                        ends = [low, *[e for _, e in own]]
-                        rest += [(e, b) for e, b in zip(ends, [*[b for b, _ in own], high], strict=True) if b > e]
-                free = rest
+            # What full texts leave of the block.
+            inside = [(x, y) for x, y in taken if x < z and a < y]
+            for low, high in zip([a, *[y for _, y in inside]], [*[x for x, _ in inside], z], strict=True):
+                if low < high:
+                    out += self.matches(text, low, high, range(self.notices))
         return sorted(out, key=lambda x: x["begin"])
 
+    def matches(self, text: str, a: int, z: int, templates: range) -> list[dict]:
+        at = [(a + m.start(), a + m.end()) for m in _WORD.finditer(text[a:z])]
+        have = [text[x:y].lower() for x, y in at]
+        counted = Counter(have)
+        likely = [i for i in templates if sum((self.counted[i] & counted).values()) >= COVERAGE * len(self.templates[i][2])]
+        free = [(0, len(have))] if likely else []
+        out: list[dict] = []
+        while free:
+            found = []
+            for low, high in free:
+                for i in likely:
+                    want = self.templates[i][2]
+                    for begin, end, total in self.ranges(have, low, high, i):
+                        reduction = self.reduction(text[at[begin][0] : at[end - 1][1]], i)
+                        if reduction < REDUCTION:
+                            continue
+                        codes = [c for c in difflib.SequenceMatcher(None, want, have[begin:end], autojunk=False).get_opcodes() if c[0] != "equal"]
+                        changes = [f"-{' '.join(want[c[1] : c[2]])} +{' '.join(have[begin + c[3] : begin + c[4]])}" for c in codes]
+                        # Most words confirmed less words changed, the longer template, the greater reduction.
+                        key = (total - sum(max(c[2] - c[1], c[4] - c[3]) for c in codes), len(want), reduction, -i)
+                        found.append((key, begin, end, i, reduction, total / len(want), changes))
+            taken: list[tuple[int, int]] = []
+            for _, begin, end, i, reduction, coverage, changes in sorted(found, key=lambda x: (x[0], -x[1]), reverse=True):
+                if all(end <= x or y <= begin for x, y in taken):
+                    taken.append((begin, end))
+                    out.append({"begin": at[begin][0], "end": at[end - 1][1], "license": self.templates[i][0], "wording": self.templates[i][1],
+                                "reduction": reduction, "coverage": coverage, "changes": changes})
+            # What a better match cut off may hold a match still.
+            rest = []
+            for low, high in free:
+                own = sorted(t for t in taken if low <= t[0] < high)
+                if own:
+                    ends = [low, *[e for _, e in own]]
+                    rest += [(e, b) for e, b in zip(ends, [*[b for b, _ in own], high], strict=True) if b > e]
+            free = rest
+        return out
+
 
 SHAPE = "begin long, end long, license string, wording int, reduction double, coverage double, changes array<string>"
 
