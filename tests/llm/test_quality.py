@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 
@@ -75,3 +76,21 @@ def test_sample_bounds(spark):
     docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     assert np.isfinite(quality.train(docs, known, max_rows=20).weights).all()
     assert np.isfinite(quality.train(docs, known, max_values=3000).weights).all()
+
+
+def test_sample_is_cut_in_md5_order(spark):
+    rows, labels = _corpus(80)
+    rows = [(i, t + " " + prose(i + 500, 20 * (i % 7))) for i, t in rows]
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    total, first = 0, []
+    for i in sorted((i for i, _ in rows if zlib.crc32(str(i).encode()) % 5), key=lambda i: hashlib.md5(str(i).encode()).hexdigest()):
+        total += len(quality.features([rows[i][1]], quality.BITS)[0])
+        if total > 5000:
+            break
+        first.append(i)
+    assert 4 < len(first) < 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = quality.train(docs, known.where(F.col("doc_id").isin(first)))
+    for order in (rows, rows[::-1]):
+        got = quality.train(spark.createDataFrame(order, "doc_id long, text string").coalesce(1), known, max_values=5000)
+        assert np.array_equal(got.weights, want.weights) and (got.scale, got.shift) == (want.scale, want.shift)

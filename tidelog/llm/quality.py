@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textvec
-from .common import crc_of, slices
+from .common import crc_of, slices, written
 
 BITS = 18
 #: The fit takes at most this many labelled rows, and feature values of all of them together.
@@ -190,8 +190,8 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_values: int = MAX_VALUES, bits: int = BITS) -> Model:
     """Fits on a bounded sample of the labelled rows that are not held out.
 
-    The sample: the ``max_rows`` labelled ids least in md5 order, cut where their
-    features pass ``max_values``. Null labels and ids are left out; an id
+    The sample: the ``max_rows`` labelled ids least in md5 order, cut at the first
+    with which their features pass ``max_values``. Null labels and ids are left out; an id
     labelled twice takes the higher label; of repeated documents one is used.
     Only ids and features of the sample come to the driver.
     """
@@ -213,15 +213,17 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_valu
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(values, pa.binary())], names=["doc_id", "index"])
 
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("index", T.BinaryType())])
-    found: dict = {}
-    total = 0
-    for r in own.mapInArrow(run, schema).toLocalIterator(prefetchPartitions=True):
-        value = bytes(r["index"])
-        if r["doc_id"] in found:
-            found[r["doc_id"]] = min(found[r["doc_id"]], value)
-        elif total + len(value) // 4 <= max_values:
-            found[r["doc_id"]] = value
-            total += len(value) // 4
+    values = own.mapInArrow(run, schema).groupBy("doc_id").agg(F.min("index").alias("index"))
+    values = written(values.withColumn("n", (F.length("index") / F.lit(4)).cast("long")), "quality-sample")
+    count = {r["doc_id"]: r["n"] for r in values.select("doc_id", "n").collect()}  # max_rows at most
+    wanted, total = [], 0
+    for i, _ in pairs:
+        total += count.get(i, 0)
+        if total > max_values:
+            break
+        wanted.append((i,))
+    fetched = values.select("doc_id", "index").join(F.broadcast(spark.createDataFrame(wanted, ids.schema)), "doc_id")
+    found = {r["doc_id"]: bytes(r["index"]) for r in fetched.toLocalIterator(prefetchPartitions=True)}
     kept = [(found[i], q) for i, q in pairs if i in found]
     return fit([np.frombuffer(v, dtype=np.int32) for v, _ in kept], np.array([q for _, q in kept]), bits)
 
