@@ -2,11 +2,12 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidelog.llm import spm, token_scan
 
-from .conftest import MODEL
+from .conftest import MODEL, prose
 
 
 def library():
@@ -18,12 +19,19 @@ def test_encode_and_decode_like_the_library(model):
     sp, e, r = library(), spm.Encoder(model), random.Random(5)
     texts = ["", " ", "  ", "a", " a", "▁", "▁▁ a", "hello  world\n\tfoo", "日本語🎉é", "\x00ab", "</s><s> <0x41><unk>", " " * 60 + "x", "a" * 3000, "ab" * 900, "\r\n", "é", "the" * 400]
     texts += ["".join(r.choice("abcde  thein▁ é日🎉\n.,") for _ in range(r.randint(1, 60))) for _ in range(1500)]
-    for t in texts:
+    r.shuffle(texts)
+    every, bounds = e.ids_of(pa.array([*texts, None, *texts]))
+    digests = e.digests(every, bounds)
+    assert len(bounds) == 2 * len(texts) + 2 and bounds[len(texts)] == bounds[len(texts) + 1]
+    for i, t in enumerate(texts):
         ids = sp.encode(t)
         assert e.encode(t) == ids, t
         assert e.decode(ids) == sp.decode(ids), t
-        assert e.digest(t) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest())
-        assert e.ids_of(t).tolist() == ids
+        for j in (i, i + len(texts) + 1):
+            assert every[bounds[j] : bounds[j + 1]].tolist() == ids, t
+        assert digests[0][i] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert digests[1][i] == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
+    assert e.ids_of(pa.array([], pa.string()))[0].tolist() == [] and e.ids_of(pa.array([None, ""], pa.string()))[1].tolist() == [0, 0, 0]
 
 
 def test_segments_are_what_merging_gives(model):
@@ -33,11 +41,21 @@ def test_segments_are_what_merging_gives(model):
         assert e._segments(t) == e._merged(t)
 
 
-def test_small_cache_gives_the_same(model, monkeypatch):
-    monkeypatch.setattr(spm, "CACHE_CHUNKS", 3)
-    e = spm.Encoder(model)
-    text = "one two three four five six one two three four five six"
-    assert e.digest(text) == spm.encoder_of(model).digest(text)
+def test_pairs_merge_back(model):
+    e, r = spm.Encoder(model), random.Random(8)
+    tokens = sorted(t for t in e.reachable if len(t) < 6)
+    for _ in range(3000):
+        a, b = r.choice(tokens), r.choice(tokens)
+        assert e._compatible(a, b) == (e._merged(a + b) == [a, b]), (a, b)
+
+
+def test_small_tables_give_the_same(model, monkeypatch):
+    text = pa.array([prose(i, 200) for i in range(20)])
+    want = spm.encoder_of(model).ids_of(text)
+    for name, value in (("PAIRS", 300), ("TOGETHER", 100), ("LONGEST", 3)):
+        monkeypatch.setattr(spm, name, value)
+        got = spm.Encoder(model).ids_of(text)
+        assert all((x == y).all() for x, y in zip(got, want, strict=True))
 
 
 def test_documents(docs, none, model):

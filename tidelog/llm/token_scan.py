@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import spm
-from .common import new_path, written
+from .common import new_path, slices, written
 
 #: Tokens in a block.
 BLOCK = 1 << 20
@@ -54,14 +54,14 @@ def write_token_files(docs: DataFrame, model: bytes, eod: int, width: int = 2) -
         path = f"{folder}/part-{TaskContext.get().partitionId()}-{uuid.uuid4().hex}.bin"
         store, inner = _open(path)
         store.create_dir(inner.rpartition("/")[0], recursive=True)
-        end = np.array([eod], dtype=DTYPES[width])
         ordinal, size, rows = 0, 0, []
         with store.open_output_stream(inner) as out:
             for b in batches:
-                for v in b.column(1):
-                    ids = np.array(e.ids_of(v.as_py()), dtype=DTYPES[width])
-                    out.write(ids.tobytes() + end.tobytes())
-                    size += (len(ids) + 1) * width
+                for a, z in slices(b.column(1), spm.SLICE):
+                    ids, bounds = e.ids_of(b.column(1).slice(a, z - a))
+                    data = np.insert(ids, bounds[1:], eod).astype(DTYPES[width])
+                    out.write(data.tobytes())
+                    size += len(data) * width
                 rows.append((b.column(0), ordinal))
                 ordinal += b.num_rows
         for ids, first in rows:  # ids only; the file's size is known now
@@ -105,28 +105,31 @@ def stitch(blocks: DataFrame) -> DataFrame:
     ``n_tokens`` is without the separator; tokens after a file's last separator
     are a document that has not ended. Two separators in a row hold an empty document.
     """
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     last = F.element_at("ends", -1)
-    summed = blocks.select(
-        "file", "block", "n_tokens", "ends",
-        F.coalesce(F.sum(F.size("ends").cast("long")).over(before), F.lit(0).cast("long")).alias("first"),
-        F.coalesce(F.max(F.when(F.size("ends") > 0, last)).over(before), F.lit(-1).cast("long")).alias("open"),
-        F.lead("block").over(Window.partitionBy("file").orderBy("block")).isNull().alias("final"),
-        F.sum("n_tokens").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+    found = F.size("ends").cast("long")
+    summary = blocks.select("file", "block", "n_tokens", found.alias("n"), F.when(F.size("ends") > 0, last).alias("last"))
+    along = Window.partitionBy("file").orderBy("block")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.sum("n_tokens").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    final = F.lead("block").over(along).isNull()
+    summed = summary.select(
+        "file", "block", "n", "last", upto.alias("upto"), final.alias("final"),
+        F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("first"),
+        F.coalesce(F.max("last").over(before), F.lit(-1).cast("long")).alias("open"),
     )
-    end_of_file = F.when(F.col("final") & (F.coalesce(F.when(F.size("ends") > 0, last), F.col("open")) < F.col("upto") - 1), F.array("upto")).otherwise(F.array().cast("array<long>"))
-    stops = summed.withColumn("starts", F.concat(F.array("open"), "ends")).withColumn("stops", F.concat("ends", end_of_file))
-    each = stops.select("file", "first", "starts", "upto", F.posexplode("stops").alias("i", "stop"), F.size("ends").alias("n"))
+    # Only summaries, a row a block, meet in a file's order; the positions stay with their blocks.
+    placed = blocks.select("file", "block", "ends").hint("merge").join(summed.hint("merge"), ["file", "block"])
+    unended = F.col("final") & (F.coalesce("last", "open") < F.col("upto") - 1)
+    stops = F.concat("ends", F.when(unended, F.array("upto")).otherwise(F.array().cast("array<long>")))
+    each = placed.select("file", "first", "n", F.concat(F.array("open"), "ends").alias("starts"), F.posexplode(stops).alias("i", "stop"))
     start = F.element_at("starts", F.col("i") + 1)
-    return each.select(
-        "file", (F.col("first") + F.col("i")).alias("ordinal"), (start + 1).alias("begin"), (F.col("stop") - start - 1).alias("n_tokens"), (F.col("i") < F.col("n")).alias("ended")
-    )
+    return each.select("file", (F.col("first") + F.col("i")).alias("ordinal"), (start + 1).alias("begin"), (F.col("stop") - start - 1).alias("n_tokens"), (F.col("i") < F.col("n")).alias("ended"))
 
 
 def count_tokens(docs: DataFrame, model: bytes, eod: int, width: int = 2, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_tokens) of every row: writes flat token files, scans them, and names the documents by the manifest."""
     manifest = write_token_files(docs, model, eod, width)
-    found = stitch(scan_blocks(manifest.select("file", "size").distinct(), eod, width, block))
+    found = stitch(written(scan_blocks(manifest.select("file", "size").distinct(), eod, width, block), "token-blocks"))
     # Both sides grow with the documents; paths compress so well that their shuffled size would pass for a small table.
     counts = found.select("file", "ordinal", "n_tokens").hint("merge")
     return manifest.select("doc_id", "file", "ordinal").hint("merge").join(counts, ["file", "ordinal"]).select("doc_id", "n_tokens")
