@@ -77,6 +77,58 @@ def test_classes_match_all_pairs(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want))
 
 
+def _random_sets(r, n, words):
+    """Sets drawn from few shingles, so that similarities spread around the threshold and chains are long."""
+    base = np.sort(r.choice(10**6, words, replace=False)).astype(np.uint32)
+    out = []
+    for _ in range(n):
+        own = np.unique(np.concatenate([base[r.random(words) > r.choice([0.02, 0.1, 0.2])], r.integers(10**6, 2 * 10**6, r.integers(0, words // 6)).astype(np.uint32)]))
+        out.append((own, r.choice(np.array([1, 1.25, 2], dtype=np.float32), len(own))))
+    return out
+
+
+def test_links_join_what_all_pairs_join():
+    r = np.random.default_rng(4)
+    for n in (1, 2, 3, 17, 60):
+        sets = _random_sets(r, n, 60)
+        pairs = [(i, j) for i in range(n) for j in range(i) if dedup.weighted_jaccard(sets[i], sets[j]) >= 0.8]
+
+        def classes(links, start):
+            root = list(start)
+            for i, j, *_ in links:
+                root = [root[i] if x == root[j] else x for x in root]
+            return [root.index(x) for x in root]
+
+        raw = [h.tobytes() for h, _ in sets], [w.tobytes() for _, w in sets]
+        found = dedup.links_in(*raw, 0.8)
+        assert classes(found, range(n)) == classes(pairs, range(n)) and len(found) == n - len(set(classes(pairs, range(n))))
+        assert all(abs(s - dedup.weighted_jaccard(sets[i], sets[j])) < 1e-9 for i, j, s in found)
+        given = r.integers(0, 5, n)
+        probes = r.random(n) < 0.3
+        across = [(i, j) for i, j in pairs if probes[i] != probes[j]]
+        assert classes(dedup.links_in(*raw, 0.8, given, probes), given) == classes(across, given)
+
+
+def test_clashing_columns(spark, docs):
+    from pyspark.sql import functions as F
+
+    clash = docs.withColumn("node_a_", F.lit(1)).withColumn("NODE_B_", F.lit(2)).withColumn("id_", F.lit(3)).withColumn("row_", F.lit(4)).withColumn("x_", F.lit(5)).withColumn("root", F.lit(6))
+    kept = dedup.keep_one(clash)
+    assert kept.columns == clash.columns and kept.count() == dedup.keep_one(docs).count()
+
+
+def test_texts_without_ids_link(spark):
+    """A chain whose middle has no id is one class."""
+    words = prose(9, 200).split()
+    end = [*words[:8], *[f"new{i}" for i in range(24)], *words[32:]]
+    middle = [*words[:8], *[f"new{i}" for i in range(12)], *words[20:]]
+    (a, b, c), *_ = _sets([" ".join(x) for x in (words, middle, end)])
+    assert min(dedup.weighted_jaccard(a, b), dedup.weighted_jaccard(b, c)) > 0.8 > dedup.weighted_jaccard(a, c)
+    df = spark.createDataFrame([(-5, " ".join(words)), (None, " ".join(middle)), (7, " ".join(end)), (None, "no id here")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.class_id) for r in dedup.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(-5, -5), (7, -5), (None, -5), (None, None)], key=str)
+
+
 def test_edges(spark, docs, none):
     got = {(r.doc_id, r.class_id) for r in dedup.near_duplicates(docs).collect()}
     assert {(0, 0), (1, 0), (2, 0), (3, 3), (4, 4), (5, 5), (6, 6), (7, 7), (8, 7), (None, None)} <= got
@@ -95,6 +147,8 @@ def test_components(spark):
     for _ in range(100):
         for a, b in pairs:
             root[a] = root[b] = min(root[a], root[b])
+    wide = spark.createDataFrame(pairs, "a long, b long").selectExpr("cast(a as decimal(38,0)) a", "cast(b as decimal(38,0)) b")
+    assert {int(x.id): int(x.root) for x in dedup.components(wide).collect()} == {x.id: x.root for x in dedup.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     got = {x.id: x.root for x in dedup.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert all(got.get(x, x) == m for x, m in root.items())
     empty = spark.createDataFrame([], "a long, b long")

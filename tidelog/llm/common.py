@@ -66,6 +66,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column of ``df`` has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in (f"{w}{'_' * k}" for k in range(1, len(taken) + 2)) if n.lower() not in taken) for w in wanted]
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

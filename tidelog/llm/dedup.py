@@ -7,29 +7,34 @@
    ROWS`` times by improved consistent weighted sampling. Samples of a band make
    one bucket.
 3. Texts that share a bucket are compared exactly by weighted Jaccard similarity.
-   Large buckets are dealt into blocks, and every pair of blocks is a task of its
-   own. Pairs already joined by links found in the same task are skipped, so a
-   task returns a forest, never all pairs.
-4. Connected links make classes.
+   Large buckets are dealt into blocks, each text to one of them. A block takes its most
+   typical texts first, each against all others at once, and stops when all
+   are joined; it returns a forest, never all pairs.
+4. Links make classes. Where a large bucket still falls into several classes, the
+   texts outside its largest class meet all blocks that they have not met yet, so no
+   link is lost; what the links have joined is not compared again.
 
 The idf is ``1 + IDF * ln(M / df) / ln(M)``, M all shingles, tf ``1 + ln(count)``. A
 strong idf would take copies apart: what a large group of near copies shares is
 common, what sets them apart is rare, so their similarity would sink with the
-group's size. ``IDF`` keeps weights within a quarter of each other.
+group's size. ``IDF`` keeps weights within a quarter of each other. A sketch of fixed
+size counts too much once shingles outnumber its cells by far: all idfs then near
+their common floor, and the similarity nears that of tf alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textvec
-from .common import drop, new_path, slices, small_batches, written
+from .common import drop, free_names, new_path, slices, small_batches, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -42,9 +47,13 @@ SEGMENTS = 64
 BLOCK = 128
 #: Parts that the edges of one id are dealt into.
 SALTS = 16
-#: Bits of the filter that picks the texts to compare: 16 a text, at most 2**27 (16 MB).
+#: Bits of the filter that picks the texts to compare: 16 a text, at most 2**27 (16 MB). A full
+#: filter lets more texts through than are needed; the join behind it drops them.
 MAX_BITS = 1 << 27
 _PAIR = "na long, nb long"
+#: A text's id: its least doc_id (none: after all others) before 62 bits of its node; the least id of a class names it.
+_ID = T.DecimalType(38, 0)
+_LOW, _HALF = 1 << 62, 1 << 125
 
 
 # --- shingles -------------------------------------------------------------------------------------------------
@@ -348,55 +357,140 @@ def _weighted_sets(docs: DataFrame, weights, chosen) -> DataFrame:
     return docs.select("text").mapInArrow(run, _PAIR + ", hashes binary, weights binary")
 
 
-def _links_in_groups(members: DataFrame, threshold: float) -> DataFrame:
-    """(na, nb, ma, mb, similarity): a forest of the links inside each (bucket, i, j) group, rows sorted by group."""
+def _text_id(rep: Column, na: Column, nb: Column) -> Column:
+    high = F.coalesce(rep.cast(_ID), F.lit(Decimal(1 << 63))) * F.lit(Decimal(_LOW)) + F.lit(Decimal(_HALF))
+    return (high.cast(_ID) + F.shiftrightunsigned(F.xxhash64(na, nb), 2).cast(_ID)).cast(_ID)
 
-    def links(rows: list[tuple]) -> list[tuple]:
-        rows = [(r, (np.frombuffer(r[4], dtype=np.uint32), np.frombuffer(r[5], dtype=np.float32))) for r in rows]
-        total = [float(s[1].sum(dtype=np.float64)) for _, s in rows]
-        order = np.argsort(total, kind="stable")
-        root = list(range(len(rows)))
 
-        def top(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
+def _least_doc(id_: str) -> Column:
+    """The doc_id in a text's id."""
+    return F.when(F.col(id_) < F.lit(Decimal(2 * _HALF)), F.expr(f"({id_} - {id_} % {_LOW} - {_HALF}) div {_LOW}"))
 
-        out = []
-        for x, i in enumerate(order):
-            for j in order[x + 1 :]:
-                if total[i] < threshold * total[j] * (1 - 1e-9):
-                    break  # sums rise, and similarity is at most their ratio
-                if top(i) == top(j):
-                    continue
-                s = weighted_jaccard(rows[i][1], rows[j][1])
-                if s >= threshold:
-                    root[top(i)] = top(j)
-                    out.append((*rows[i][0][2:4], *rows[j][0][2:4], s))
-        return out
+
+class Block:
+    """Weighted sets side by side, for comparing one with all at once."""
+
+    def __init__(self, hashes: list, weights: list):
+        self.sizes = np.array([len(h) for h in hashes]) // 4
+        self.bounds = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.weights = np.frombuffer(b"".join(weights), dtype=np.float32).astype(np.float64)
+        shingles_, self.place = np.unique(np.frombuffer(b"".join(hashes), dtype=np.uint32), return_inverse=True)
+        self.row = np.zeros(len(shingles_))
+        self.totals = np.add.reduceat(self.weights, self.bounds[:-1])
+
+    def typical(self) -> np.ndarray:
+        """Texts by falling share of what others have too."""
+        often = np.bincount(self.place)[self.place]
+        return np.argsort(-np.add.reduceat(self.weights * often, self.bounds[:-1]) / self.totals, kind="stable")
+
+    def similarity(self, i: int) -> np.ndarray:
+        """Weighted Jaccard similarity of text ``i`` with every text."""
+        own = slice(self.bounds[i], self.bounds[i + 1])
+        self.row[self.place[own]] = self.weights[own]
+        shared = np.add.reduceat(np.minimum(self.weights, self.row[self.place]), self.bounds[:-1])
+        self.row[self.place[own]] = 0
+        return shared / (self.totals[i] + self.totals - shared)
+
+
+def links_in(hashes: list, weights: list, threshold: float, classes: np.ndarray | None = None, probes: np.ndarray | None = None) -> list[tuple[int, int, float]]:
+    """Links (i, j, similarity) that join what is similar: a forest over the classes given, or over the texts.
+
+    With ``probes`` only pairs of a probe and another text count. Texts of one class
+    are not compared.
+    """
+    root = np.arange(len(hashes)) if classes is None else classes.copy()
+    if len(root) < 2 or (root == root[0]).all():
+        return []
+    block, out = Block(hashes, weights), []
+    order = block.typical()
+    for i in order if probes is None else [i for i in order if probes[i]]:
+        open_ = root != root[i]
+        if probes is not None:
+            open_ &= ~probes
+        if not open_.any():
+            if probes is None:
+                break
+            continue
+        found = block.similarity(i)
+        for j in np.flatnonzero(open_ & (found >= threshold * (1 - 1e-12))):
+            if root[j] != root[i]:
+                root[root == root[j]] = root[i]
+                out.append((int(i), int(j), float(found[j])))
+    return out
+
+
+def _links_in_groups(members: DataFrame, group: list[str], threshold: float) -> DataFrame:
+    """(a, b, similarity) of the links inside each group; rows come sorted by group.
+
+    Columns of ``members``: those of ``group``, id, class, probe, hashes, weights. A null
+    probe: all texts of the group are compared with each other.
+    """
+    schema = T.StructType([T.StructField("a", _ID), T.StructField("b", _ID), T.StructField("similarity", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows, out = None, [], []
+        now, rows, left, right, how = None, [], [], [], []
+
+        def close() -> None:
+            if len(rows) > 1:
+                ids, classes, probe, hashes, weights = zip(*rows, strict=True)
+                number = {c: i for i, c in enumerate(dict.fromkeys(classes))}
+                probes = None if probe[0] is None else np.array(probe)
+                for i, j, s in links_in(list(hashes), list(weights), threshold, np.array([number[c] for c in classes]), probes):
+                    left.append(ids[i])
+                    right.append(ids[j])
+                    how.append(s)
 
         def flush() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            arrays = [pa.array(c, pa.float64() if i == 4 else pa.int64()) for i, c in enumerate(columns)]
-            return pa.RecordBatch.from_arrays(arrays, names=["na", "nb", "ma", "mb", "similarity"])
+            kind = pa.decimal128(38, 0)
+            out = pa.RecordBatch.from_arrays([pa.array(left, kind), pa.array(right, kind), pa.array(how, pa.float64())], names=schema.names)
+            for x in (left, right, how):
+                x.clear()
+            return out
 
         for b in batches:
             for r in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                if r[:2] != group:
-                    out += links(rows)
-                    group, rows = r[:2], []
-                rows.append(r)
-            if len(out) > 10_000:
+                if r[: len(group)] != now:
+                    close()
+                    now, rows = r[: len(group)], []
+                rows.append(r[len(group) :])
+            if len(left) > 10_000:
                 yield flush()
-                out = []
-        out += links(rows)
+        close()
         yield flush()
 
-    return members.mapInArrow(run, "na long, nb long, ma long, mb long, similarity double")
+    return members.mapInArrow(run, schema)
+
+
+def _compared(members: DataFrame, sets: DataFrame, group: list[str], threshold: float, name: str) -> DataFrame:
+    rows = members.join(sets, ["na", "nb"]).select(*group, "id", "class", "probe", "hashes", "weights")
+    rows = rows.repartition(*group).sortWithinPartitions(*group, "id")
+    with small_batches(members.sparkSession):
+        return written(_links_in_groups(rows, group, threshold), name)
+
+
+def _rest(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, block, part, na, nb, id, class, probe): what is left to compare in large buckets.
+
+    Of each bucket whose texts are not all of one class, the texts outside the
+    largest class are probes; parts of at most about ``BLOCK`` probes meet each block.
+    """
+    large = shared.where(F.col("n") > BLOCK).join(roots, "id", "left").withColumn("class", F.coalesce("root", "id")).drop("root")
+    large = written(large, "dedup-large")
+    held = large.groupBy("bucket", "class").agg(F.count("*").alias("m"))
+    most = held.groupBy("bucket").agg(F.max(F.struct("m", "class")).alias("most"), F.sum("m").alias("all"))
+    most = most.select("bucket", F.col("most.class").alias("largest"), (F.col("all") - F.col("most.m")).alias("outside")).where("outside > 0")
+    open_ = written(large.join(most, "bucket"), "dedup-open")
+    blocks, parts = _blocks(F.col("n")), _blocks(F.col("outside"))
+    pick = lambda n: F.pmod(F.xxhash64("id", "bucket"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    columns = ["bucket", "block", "part", "na", "nb", "id", "class"]
+    texts = open_.withColumn("block", pick(blocks)).withColumn("part", every(parts)).select(*columns, F.lit(False).alias("probe"))
+    probes = open_.where("class <> largest").withColumn("part", pick(parts)).withColumn("block", every(blocks)).select(*columns, F.lit(True).alias("probe"))
+    return texts.unionByName(probes)
+
+
+def _blocks(n: Column) -> Column:
+    return F.ceil(n / F.lit(float(BLOCK))).cast("int")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -437,8 +531,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Needs doc_id (an integer) and text. Texts without words, null ones among them,
     are classes of their own. Texts of fewer than five words have one shingle, so
     only copies match. Rows that repeat share a class. A null doc_id belongs to
-    the class of its text, and has a null class if no row of it has an id. An empty
-    table gives no rows. Case of A-Z and kinds of white space don't count.
+    the class of its text, which it links like any other, and has a null class if no
+    row of the class has an id. An empty table gives no rows. Case of A-Z and kinds
+    of white space don't count. Other columns are not read.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -450,36 +545,29 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # Buckets with the same texts are one: bands agree on most groups.
     full = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.xxhash64("na", "nb").cast("decimal(38,0)")).alias("s")).where("n > 1")
     full = full.groupBy("n", "s").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    shared = written(rows.join(full, "bucket"), "dedup-shared")
+    texts = own.where("na is not null").groupBy("na", "nb").agg(F.min("doc_id").alias("rep"))
+    texts = written(texts.select("na", "nb", _text_id(F.col("rep"), F.col("na"), F.col("nb")).alias("id")), "dedup-texts")
+    shared = written(rows.join(full, "bucket").join(texts, ["na", "nb"]), "dedup-shared")
     nodes = shared.select("na", "nb").distinct()
     chosen = spark.sparkContext.broadcast(_filter_of(nodes))
     sets = _weighted_sets(docs, weights, chosen).groupBy("na", "nb").agg(F.first("hashes").alias("hashes"), F.first("weights").alias("weights"))
 
-    # Blocks of large buckets: a text goes to every pair of blocks that holds its own.
-    blocks = F.ceil(F.col("n") / F.lit(float(BLOCK))).cast("int")
-    mine = F.pmod(F.xxhash64("nb", "bucket"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = shared.withColumn("blocks", blocks).withColumn("mine", mine).withColumn("other", other)
-    pair = F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")
-    dealt = dealt.select("bucket", pair.alias("pair"), "na", "nb")
-    grouped = dealt.join(sets, ["na", "nb"]).select("bucket", "pair", "na", "nb", "hashes", "weights")
-    grouped = grouped.repartition("bucket", "pair").sortWithinPartitions("bucket", "pair", "na", "nb")
-    with small_batches(spark):
-        links = written(_links_in_groups(grouped, threshold), "dedup-links")
-
-    least = own.where("na is not null").groupBy("na", "nb").agg(F.min("doc_id").alias("rep"))
-    least = written(least, "dedup-texts")
-    to_rep = lambda x, y, name: least.select(F.col("na").alias(x), F.col("nb").alias(y), F.col("rep").alias(name))
-    edges = links.join(to_rep("na", "nb", "a"), ["na", "nb"]).join(to_rep("ma", "mb", "b"), ["ma", "mb"]).select("a", "b").where("a is not null and b is not null")
-    roots = components(edges)
-    named = least.join(roots, least["rep"] == roots["id"], "left").select("na", "nb", F.coalesce("root", "rep").alias("class"))
+    block = F.pmod(F.xxhash64("id", "bucket"), _blocks(F.col("n"))).cast("int")
+    members = shared.select("bucket", block.alias("block"), "na", "nb", "id", F.col("id").alias("class"), F.lit(None).cast("boolean").alias("probe"))
+    links = _compared(members, sets, ["bucket", "block"], threshold, "dedup-links")
+    roots = components(links)
+    if shared.where(F.col("n") > BLOCK).limit(1).count():
+        roots = written(roots, "dedup-roots")
+        more = _compared(_rest(shared, roots), sets, ["bucket", "block", "part"], threshold, "dedup-links")
+        if more.limit(1).count():
+            roots = components(links.unionByName(more))
+    named = texts.join(roots, "id", "left").select("na", "nb", F.coalesce("root", "id").alias("root"))
     out = own.join(named, ["na", "nb"], "left")
-    return out.select("doc_id", "na", "nb", F.coalesce("class", "doc_id").alias("class_id"))
+    return out.select("doc_id", "na", "nb", F.coalesce(_least_doc("root"), F.col("doc_id").cast("long")).alias("class_id"))
 
 
-def _with_nodes(docs: DataFrame) -> DataFrame:
-    names = {"na": "node_a_", "nb": "node_b_"}
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.LongType()) for n in names.values()]])
+def _with_nodes(docs: DataFrame, names: list[str]) -> DataFrame:
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.LongType()) for n in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -492,20 +580,20 @@ def _with_nodes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns: one of each class, that of the least (doc_id, node).
+    """The rows of ``docs`` that stay, all columns of any name: one of each class, that of the least (doc_id, node).
 
     Rows without words all stay but for repeats with the same id; of rows without
-    an id one of each text stays.
+    an id, or in classes without one, one of each text stays. An empty table stays empty.
     """
     found = near_duplicates(docs, threshold)
     group = F.when(F.col("na").isNull() | F.col("class_id").isNull(), F.struct(F.col("doc_id").alias("c"), F.coalesce("na", F.lit(0)).alias("x"), F.coalesce("nb", F.lit(0)).alias("y"))).otherwise(
         F.struct(F.col("class_id").alias("c"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"))
     )
     least = found.groupBy(group.alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", F.coalesce("na", F.lit(0)).alias("a"), F.coalesce("nb", F.lit(0)).alias("b"))).alias("k"))
-    kept = least.select(F.col("k.doc_id").alias("id_"), F.col("k.a").alias("a_"), F.col("k.b").alias("b_")).distinct()
-    rows = _with_nodes(docs)
-    same = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("node_a_") == F.col("a_")) & (F.col("node_b_") == F.col("b_"))
-    once = Window.partitionBy("node_a_", "node_b_", "doc_id").orderBy(F.lit(1))
-    joined = rows.join(kept, same, "left_semi").withColumn("row_", F.row_number().over(once)).where("row_ = 1")
+    id_, x, y, a, b, row = free_names(docs, "id", "x", "y", "node_a", "node_b", "row")
+    kept = least.select(F.col("k.doc_id").alias(id_), F.col("k.a").alias(x), F.col("k.b").alias(y)).distinct()
+    rows = _with_nodes(docs, [a, b])
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(a) == F.col(x)) & (F.col(b) == F.col(y))
+    once = Window.partitionBy(a, b, "doc_id").orderBy(F.lit(1))
+    joined = rows.join(kept, same, "left_semi").withColumn(row, F.row_number().over(once)).where(F.col(row) == 1)
     return joined.select(*[f"`{c}`" for c in docs.columns])
-
