@@ -66,12 +66,26 @@ def test_edges(spark):
 
 def test_tree_prunes():
     r = np.random.default_rng(2)
-    points = r.normal(size=(4000, 3))
-    tree = vptree.Tree(points, leaf=32)
+    raw = r.normal(size=(4000, 3))
+    top = np.linalg.norm(raw, axis=1).max()
+    tree = vptree.Tree(vptree._augment(raw, top), raw, leaf=32)
     seen = []
     scan = tree._scan
     tree._scan = lambda rows, active: (seen.append(len(rows) * len(active)), scan(rows, active))
     q = r.normal(size=(50, 3))
-    best, rows = tree.search(q, 5, np.full(50, np.inf), np.arange(4000))
-    want = np.argsort(((q[:, None] - points[None]) ** 2).sum(axis=2), axis=1)[:, :5]
-    assert (rows == want).all() and sum(seen) < 0.3 * 50 * 4000
+    best, rows = tree.search(vptree._query(q, top), q, 5, np.full(50, np.inf), np.arange(4000))
+    want = np.argsort(-(q @ raw.T), axis=1)[:, :5]
+    assert (rows == want).all() and np.allclose(best, np.take_along_axis(q @ raw.T, want, axis=1)) and sum(seen) < 0.3 * 50 * 4000
+
+
+@pytest.mark.parametrize("scale", [1.0, 2.0**20, 2.0**-20])
+def test_ties(spark, monkeypatch, scale):
+    """Vectors of few small integers, whose products tie often: ids decide."""
+    monkeypatch.setattr(vptree, "SHARD_POINTS", 512)
+    r = np.random.default_rng(11)
+    x = np.unique(r.integers(-2, 3, (2600, 8)), axis=0)
+    r.shuffle(x)
+    rows = [(i, [float(c) * scale for c in v], 0, None) for i, v in enumerate(x) if v.any()]
+    df = spark.createDataFrame(rows, SHAPE.replace("float", "double")).repartition(3)
+    got = sorted((g.query_id, g["rank"], g.vec_id) for g in vptree.nearest(df).collect())
+    assert got == [w[:3] for w in brute(rows)]

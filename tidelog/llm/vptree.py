@@ -35,14 +35,23 @@ MAX_PIVOTS = 256
 SAMPLE = 4096
 #: Queries that search a shard at once.
 BLOCK = 1024
-SLACK = 1e-9
+#: Rounding of distances, as a share of the largest norm, and of their squares: bounds are eased by as much.
+SLACK, SQUARE_SLACK = 1e-6, 1e-11
+#: Products that are added up exactly at once.
+EXACT = 1 << 22
 
 
 class Tree:
-    """A vantage-point tree over rows of ``points``; searches many queries together."""
+    """A vantage-point tree over rows of ``points``; searches many queries together.
 
-    def __init__(self, points: np.ndarray, leaf: int = LEAF, seed: int = 4):
-        self.points, self.leaf = points, leaf
+    ``raw``: the vectors that the points stand for; their products with a query, added
+    up from the first component on, are what neighbours are ranked by. Distances only
+    rule points out, so their rounding changes nothing.
+    """
+
+    def __init__(self, points: np.ndarray, raw: np.ndarray, leaf: int = LEAF, seed: int = 4):
+        self.points, self.raw, self.leaf = points, raw, leaf
+        self.scale = float(np.sqrt((points**2).sum(axis=1).max())) if len(points) else 0.0
         self.rng = np.random.default_rng(seed)
         self.order = np.arange(len(points))
         self.nodes: list[tuple] = []  # (vantage, inner node, inner range, outer node, outer range) or (None, begin, end)
@@ -66,13 +75,15 @@ class Tree:
         self.nodes[at] = (None, begin, end)
         return at
 
-    def search(self, queries: np.ndarray, k: int, bound: np.ndarray, ids: np.ndarray, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-        """(squared distances, rows), k for each query, nearest first, ties to the smaller id; row -1: none.
+    def search(self, queries: np.ndarray, raw: np.ndarray, k: int, bound: np.ndarray, ids: np.ndarray, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+        """(products, rows), k for each query, largest product first, ties to the smaller id; row -1: none.
 
-        ``bound``: distances beyond which nothing is wanted.
+        ``queries``: points of the same norm, ``raw`` the vectors behind them. ``bound``: distances
+        beyond which nothing is wanted.
         """
-        self.q, self.k, self.ids, self.factor = queries, k, ids, factor
-        self.best = np.full((len(queries), k), np.inf)
+        self.q, self.asked, self.k, self.ids, self.factor = queries, raw, k, ids, factor
+        self.best = np.full((len(queries), k), -np.inf)
+        self.square = np.full((len(queries), k), np.inf)
         self.rows = np.full((len(queries), k), -1)
         self.limit = bound.copy()
         self.squares = (self.points**2).sum(axis=1)
@@ -108,7 +119,7 @@ class Tree:
         d = self._to(vantage, active)
         for child, span in ((inner, inner_range), (outer, outer_range)):
             lower = np.maximum(np.maximum(d - span[1], span[0] - d), 0)
-            go = lower * self.factor <= self.limit[active] + SLACK
+            go = lower * self.factor <= self.limit[active] + SLACK * self.scale
             if go.any():
                 self._walk(child, active[go])
 
@@ -117,27 +128,34 @@ class Tree:
         square = (q**2).sum(axis=1)[:, None] + self.squares[rows][None, :] - 2 * (q @ self.points[rows].T)
         np.maximum(square, 0, out=square)
         # Only queries to which some point of the leaf comes close enough go on.
-        near = square.min(axis=1) <= self.limit[active] ** 2 + SLACK
+        slack = SQUARE_SLACK * self.scale**2
+        near = square.min(axis=1) <= self.limit[active] ** 2 + slack
         if not near.any():
             return
         active, square = active[near], square[near]
         keep = min(self.k, len(rows))
         if keep < len(rows):
-            # Ties at the edge matter: all points as near as the keep-th take part.
-            edge = np.partition(square, keep - 1, axis=1)[:, keep - 1]
+            # Ties at the edge matter: all points as near as the keep-th, but for rounding, take part.
+            edge = np.partition(square, keep - 1, axis=1)[:, keep - 1] + slack
             width = int((square <= edge[:, None]).sum(axis=1).max())
             part = np.argpartition(square, min(width, len(rows)) - 1, axis=1)[:, :width] if width < len(rows) else np.broadcast_to(np.arange(len(rows)), square.shape)
             square = np.take_along_axis(square, part, axis=1)
             own = rows[part]
         else:
             own = np.broadcast_to(rows, square.shape)
-        best = np.concatenate([self.best[active], square], axis=1)
+        score = np.empty(square.shape)
+        step = max(1, EXACT // (square.shape[1] * self.raw.shape[1]))
+        for a in range(0, len(active), step):
+            products = self.raw[own[a : a + step]] * self.asked[active[a : a + step], None, :]
+            score[a : a + step] = np.cumsum(products, axis=2)[:, :, -1]
+        best = np.concatenate([self.best[active], score], axis=1)
+        square = np.concatenate([self.square[active], square], axis=1)
         found = np.concatenate([self.rows[active], own], axis=1)
         ids = np.where(found >= 0, self.ids[found], np.iinfo(np.int64).max)
-        order = np.lexsort((ids, best), axis=1)[:, : self.k]
-        self.best[active] = np.take_along_axis(best, order, axis=1)
-        self.rows[active] = np.take_along_axis(found, order, axis=1)
-        self.limit[active] = np.minimum(self.limit[active], np.sqrt(self.best[active, -1]))
+        order = np.lexsort((ids, -best), axis=1)[:, : self.k]
+        for kept, new in ((self.best, best), (self.square, square), (self.rows, found)):
+            kept[active] = np.take_along_axis(new, order, axis=1)
+        self.limit[active] = np.minimum(self.limit[active], np.sqrt(self.square[active].max(axis=1) + slack))
 
 
 def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
@@ -280,7 +298,7 @@ def _nearest_of(base: DataFrame, dim: int, n: int, keep: int, factor: float) ->
                 # The k-th of the sample bounds the k-th of all.
                 limit = near[:, keep - 1] if near.shape[1] >= keep else np.full(len(q), np.inf)
                 lower = np.maximum(_distances(q, p[names]) - radius, 0)
-                for i, hits in enumerate(lower * factor <= limit[:, None] + SLACK):
+                for i, hits in enumerate(lower * factor <= limit[:, None] + SLACK * m):
                     own = [(int(c), s) for c in names[hits] for s in range(salts[int(c)])]
                     one = b.slice(a + i, 1)
                     take = pa.array(np.zeros(len(own), dtype=np.int64))
@@ -298,20 +316,18 @@ def _nearest_of(base: DataFrame, dim: int, n: int, keep: int, factor: float) ->
         _, _, m = shared.value
         left = left.sort_values("vkey", kind="stable", ignore_index=True)
         x = np.frombuffer(b"".join(left["vector"]), dtype=np.float64).reshape(-1, dim)
-        tree = Tree(_augment(x, m))
+        tree = Tree(_augment(x, m), x)
         least = np.array([i[0] for i in left["ids"]], dtype=np.int64)
         keys, scores, ids = [], [], []
         for a in range(0, len(right), BLOCK):
             part = right.iloc[a : a + BLOCK]
             q = np.frombuffer(b"".join(part["vector"]), dtype=np.float64).reshape(-1, dim)
-            _, rows = tree.search(_query(q, m), keep + 3, part["bound"].to_numpy() * (1 + 1e-9), least, factor)
-            for key, own, hits in zip(part["vkey"], q, rows, strict=True):
-                hits = hits[hits >= 0]
-                exact = np.cumsum(x[hits] * own, axis=1)[:, -1]  # added up from the first component on
-                best = np.lexsort((least[hits], -exact))[:keep]
-                keys += [key] * len(best)
-                scores += exact[best].tolist()
-                ids += [left["ids"].iat[j] for j in hits[best]]
+            found, rows = tree.search(_query(q, m), q, keep, part["bound"].to_numpy() * (1 + SLACK), least, factor)
+            for key, own, hits in zip(part["vkey"], found, rows, strict=True):
+                own, hits = own[hits >= 0], hits[hits >= 0]
+                keys += [key] * len(hits)
+                scores += own.tolist()
+                ids += [left["ids"].iat[j] for j in hits]
         return pd.DataFrame({"vkey": pd.Series(keys, dtype=object), "score": pd.Series(scores, dtype=float), "ids": pd.Series(ids, dtype=object)})
 
     found = points.groupBy("cell", "salt").cogroup(asked.groupBy("cell", "salt")).applyInPandas(search, answer)
