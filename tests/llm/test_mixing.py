@@ -85,6 +85,12 @@ def test_documents_come_as_often_as_taken(spark, docs):
     assert got == {k: v for k, v in want.items() if v}
 
 
+def test_clashing_columns(docs):
+    clash = docs.withColumn("copies_", docs["doc_id"]).withColumn("ID_", docs["text"]).withColumn("hash_", docs["lang"]).withColumn("bin", docs["lang"])
+    mixed = mixing.mixed_documents(clash)
+    assert mixed.columns == clash.columns and mixed.count() == mixing.mixed_documents(docs).count()
+
+
 def test_no_python_in_the_plan(docs):
     plan = mixing.mixed_documents(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

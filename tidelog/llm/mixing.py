@@ -11,9 +11,11 @@ No step needs all rows of a source, or all rows, in one task:
 * the running sum inside a source is taken over (source, hash bucket) groups,
   with the sums of the earlier buckets added, so a source that holds a third of
   the rows is spread over ``BUCKETS`` groups;
-* the global cut-off comes from sums by time bin. Times are uniform in words by
-  construction, so fixed bins are even; only the one bin in which the budget
-  ends is sorted row by row.
+* the global order is a range-sort: passes are range-partitioned by time bin (times
+  are uniform in words by construction, so bins are even) and sorted inside; words
+  before a bin come from sums by bin, of which there is a bounded number.
+
+Only figures a source, and a row for each, meet in one task (``source_targets``).
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import word_count, written
+from .common import free_names, word_count, written
 
 BUCKETS = 4096
 BINS = 4096
@@ -109,7 +111,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES,
     passes = timed.withColumn("passes", F.array(*[F.struct(F.lit(n).alias("pass"), time(n).alias("time")) for n in range(max_passes)]))
     passes = passes.select("doc_id", "size", "spread", "source_rank", F.explode("passes").alias("p")).where("p.time is not null")
     passes = passes.select("*", "p.pass", "p.time").withColumn("bin", _bin(F.col("time")))
-    cut = _cut(timed, passes, share)
+    cut = _cut(_in_order(passes), timed, share)
     if cut is None:
         copies = F.lit(0)
     else:
@@ -125,42 +127,43 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES,
     )
 
 
-def _cut(timed: DataFrame, passes: DataFrame, share: float) -> Column | None:
-    """The last (time, source_rank, spread, doc_id, pass) that the budget allows, as a literal.
+_KEY = ["time", "source_rank", "spread", "doc_id", "pass"]
 
-    Only three single rows come to the driver: the budget, the bin it ends in, and that key.
-    """
+
+def _in_order(passes: DataFrame) -> DataFrame:
+    """All passes range-sorted by virtual finish time, ``sum``: the words up to and with each."""
+    sums = passes.groupBy("bin").agg(F.sum("size").alias("words"))
+    before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("bin", F.coalesce(F.sum("words").over(before), F.lit(0).cast("long")).alias("before"))
+    inside = Window.partitionBy("bin").orderBy(*_KEY).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = passes.repartitionByRange("bin").join(F.broadcast(offsets), "bin")  # BINS rows for each doubling of the time at most
+    return ranged.withColumn("sum", F.col("before") + F.sum("size").over(inside))
+
+
+def _cut(ordered: DataFrame, timed: DataFrame, share: float) -> Column | None:
+    """The last (time, source_rank, spread, doc_id, pass) that the budget allows, as a literal: two single rows come to the driver."""
     budget = timed.agg(F.sum("size") * F.lit(float(share))).first()[0]
     if not budget:
         return None
-    sums = passes.groupBy("bin").agg(F.sum("size").alias("words"))
-    running = sums.withColumn("sum", F.sum("words").over(Window.orderBy("bin")))
-    end = running.where(F.col("sum") > budget).orderBy("bin").limit(1).first()
-    key = F.struct("time", "source_rank", "spread", "doc_id", "pass")
-    if end is None:
-        last = passes.agg(F.max(key).alias("k")).first()["k"]
-    else:
-        order = Window.orderBy("time", "source_rank", "spread", "doc_id", "pass").rowsBetween(Window.unboundedPreceding, 0)
-        inside = passes.where(F.col("bin") == end["bin"]).withColumn("sum", F.sum("size").over(order))
-        last = inside.where(F.col("sum") <= budget - (end["sum"] - end["words"])).agg(F.max(key).alias("k")).first()["k"]
-        if last is None:
-            last = passes.where(F.col("bin") < end["bin"]).agg(F.max(key).alias("k")).first()["k"]
+    last = ordered.where(F.col("sum") <= F.lit(budget)).agg(F.max(F.struct(*_KEY)).alias("k")).first()["k"]
     if last is None:
         return None
-    kinds = dict(passes.dtypes)
+    kinds = dict(ordered.dtypes)
     return F.struct(*[F.lit(v).cast(kinds[k]).alias(k) for k, v in last.asDict().items()])
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it takes them, all columns.
+    """The rows of ``docs`` that the mix takes, each as often as it takes them, all columns, whatever their names.
 
-    Rows of equal doc_id, source and text share what they are given together.
+    Rows of equal doc_id, source and text share what they are given together. Rows
+    come in no order: texts are not moved once more for that.
     """
-    given = mix_sources(docs, **options).groupBy(F.col("doc_id").alias("id_"), F.col("source").alias("source_"), F.col("text_hash").alias("hash_"))
-    given = given.agg(F.sum("copies").alias("copies_"), F.count("*").alias("rows_")).where("copies_ > 0")
-    same = F.col("doc_id").eqNullSafe(F.col("id_")) & F.col("source").cast("string").eqNullSafe(F.col("source_")) & (F.xxhash64("text") == F.col("hash_"))
-    order = Window.partitionBy("id_", "source_", "hash_").orderBy(F.lit(1))
-    joined = docs.join(given, same).withColumn("n_", F.row_number().over(order))
-    own = F.floor(F.col("copies_") / F.col("rows_")) + (F.col("n_") <= F.col("copies_") % F.col("rows_")).cast("long")
-    repeated = joined.withColumn("own_", own).where("own_ > 0").withColumn("again_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("own_"))))
+    id_, source_, hash_, copies_, rows_, n_, own_, again_ = free_names(docs, "id", "source", "hash", "copies", "rows", "n", "own", "again")
+    given = mix_sources(docs, **options).groupBy(F.col("doc_id").alias(id_), F.col("source").alias(source_), F.col("text_hash").alias(hash_))
+    given = given.agg(F.sum("copies").alias(copies_), F.count("*").alias(rows_)).where(F.col(copies_) > 0)
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & F.col("source").cast("string").eqNullSafe(F.col(source_)) & (F.xxhash64("text") == F.col(hash_))
+    order = Window.partitionBy(id_, source_, hash_).orderBy(F.lit(1))
+    joined = docs.join(given, same).withColumn(n_, F.row_number().over(order))
+    own = F.floor(F.col(copies_) / F.col(rows_)) + (F.col(n_) <= F.col(copies_) % F.col(rows_)).cast("long")
+    repeated = joined.withColumn(own_, own).where(F.col(own_) > 0).withColumn(again_, F.explode(F.sequence(F.lit(1).cast("long"), F.col(own_))))
     return repeated.select(*[f"`{c}`" for c in docs.columns])
