@@ -127,9 +127,9 @@ def test_avro_schema():
     assert [f["name"] for f in got["fields"]] == ["UppercaseColumn1", "at", "column1", "column4", "id", "key"]
     assert got["fields"][3]["type"] == {"type": "bytes", "logicalType": "decimal", "precision": 16, "scale": 3}
     assert avro.from_columns("t_key", columns, ["id"])["fields"] == [{"name": "id", "type": "long"}]
-    with pytest.raises(avro.SchemaError, match='cannot resolve field type "time"'):
+    with pytest.raises(avro.SchemaError, match="no Avro type for time"):
         avro.from_columns("t", [pgtypes.PgColumn("x", 1083)])
-    with pytest.raises(avro.SchemaError, match="with OID 999 cannot be resolved"):
+    with pytest.raises(avro.SchemaError, match="type number 999 is not known"):
         avro.from_columns("t", [pgtypes.PgColumn("x", 999)])
     json.loads(avro.to_json(got))
 

@@ -79,14 +79,14 @@ def test_records(spark):
         (4, "update", "t", None, (1, None), ["v"]), (5, "delete", "t", (1, "b"), None, None), (6, "truncate", "t", None, None, None),
     ]
     df = spark.createDataFrame(rows, f"lsn long, kind string, relation string, old {image}, new {image}, unchanged array<string>")
-    got = {r.lsn: r for r in changelog.records(df, "id").collect()}
+    got = {r.lsn: r for r in changelog.records(df, "id", full_before=False).collect()}
     assert sorted(got) == [2, 3, 4, 5]
     assert got[2].operation == "create" and got[2].before is None and got[2].position == '{"type":2,"last_lsn":"0/2"}'
     assert got[3].before is None and got[3].after.v == "b"
     assert got[4].present == ["id"]
     assert got[5].operation == "delete" and got[5].before.id == 1 and got[5].before.v is None and got[5].after is None
-    full = {r.lsn: r for r in changelog.records(df, "id", full_before=True).collect()}
-    assert full[3].before.v == "a" and full[5].before.v == "b"
+    full = {r.lsn: r for r in changelog.records(df, "id").collect()}
+    assert full[4].before is None and full[3].before.v == "a" and full[5].before.v == "b"
 
 
 def test_key_change_is_delete_and_create(spark):
@@ -122,6 +122,24 @@ def test_apply(spark, standard):
     assert got == {1: ("new", 7), 2: (None, None), 3: ("again", None), 5: ("five", 5), 6: ("six", 6), 0: ("zero", 0), -3: ("neg", 9)}
 
 
+def test_creates_without_key_are_appended(spark, standard):
+    df = spark.createDataFrame([("create", None, "x", 1, ["a", "b"], 1), ("create", None, "x", 1, ["a", "b"], 2), ("snapshot", None, "y", None, ["a"], 3), ("update", 1, "new", None, ["id", "a"], 4)], RECS)
+    out = apply.apply_changes(standard, df, ["id"], ["a", "b"], ["n"])
+    rows = out.where("id is null").collect()
+    assert sorted((r.a, r.b or 0) for r in rows) == [("x", 1), ("x", 1), ("y", 0)] and out.count() == standard.count() + 3
+    kept = apply.apply_changes(standard, spark.createDataFrame([("delete", 1, None, None, [], 1), ("create", 9, "z", 1, [], 2)], RECS), [], ["id", "a", "b"], [], check=False)
+    assert kept.count() == standard.count() + 1  # deletes are never appended
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_order_inside_one_lsn(spark, standard, parts):
+    recs = [("update", 1, f"v{i:02d}", i, ["id", "a", "b"], 5, i) for i in range(50)]
+    random.Random(parts).shuffle(recs)
+    df = spark.createDataFrame(recs, RECS + ", seq long").repartition(parts)
+    out = apply.apply_changes(standard, df, ["id"], ["a", "b"], ["n", "seq"])
+    assert out.where("id = 1").first().a == "v49"
+
+
 def test_apply_rejects(spark, standard):
     with pytest.raises(ApplyError, match="key must be provided on update actions"):
         _apply(spark, standard, [("update", None, "x", 1, ["a"], 1)])
@@ -226,7 +244,18 @@ def test_catalog(spark, standard):
     p = catalog.Publications()
     with pytest.raises(CatalogError, match='publication "testpub" requires at least one table'):
         p.create("testpub", [])
-    assert p.create("testpub", ["a"]) and not p.create("testpub", ["b"])
+    assert p.create("testpub", ["a"])
+    with pytest.warns(UserWarning, match="there already"):
+        assert not p.create("testpub", ["b"])
+    slots = spark.createDataFrame([("s1", "0/5", "0/1")], "slot string, confirmed_flush_lsn string, restart_lsn string")
+    assert catalog.slot_state(slots, "s1")["restart_lsn"] == "0/1"
+    with pytest.raises(CatalogError, match='no replication slot "s2"'):
+        catalog.slot_state(slots, "s2")
+
+    class Failed(Exception):
+        sqlstate = catalog.DUPLICATE_OBJECT
+
+    assert catalog.is_duplicate(Failed()) and not catalog.is_duplicate(ValueError())
     p.drop("testpub")
     p.drop("testpub", if_exists=True)
     with pytest.raises(CatalogError):

@@ -37,14 +37,14 @@ def from_columns(name: str, columns: list[PgColumn], only: list[str] | None = No
             continue
         kind = OIDS.get(c.oid)
         if kind is None:
-            raise SchemaError(f'field "{c.name}" with OID {c.oid} cannot be resolved')
+            raise SchemaError(f'column "{c.name}": type number {c.oid} is not known')
         if kind == "numeric":
             precision, scale = numeric_typmod(c.typmod)
             fields.append((c.name, {"type": "bytes", "logicalType": "decimal", "precision": precision, "scale": scale}))
         elif kind in AVRO:
             fields.append((c.name, AVRO[kind]))
         else:
-            raise SchemaError(f'cannot resolve field type "{kind}" ')
+            raise SchemaError(f'column "{c.name}": no Avro type for {kind}')
     return _record(name, fields)
 
 
@@ -58,7 +58,7 @@ def from_spark(name: str, schema: T.StructType, only: list[str] | None = None) -
         elif type(f.dataType) in _SPARK_AVRO:
             fields.append((f.name, _SPARK_AVRO[type(f.dataType)]))
         else:
-            raise SchemaError(f'cannot resolve field type "{f.dataType.simpleString()}" ')
+            raise SchemaError(f'column "{f.name}": no Avro type for {f.dataType.simpleString()}')
     return _record(name, fields)
 
 

@@ -151,15 +151,14 @@ def uuid_text(raw: Column, null_as_empty: bool = False) -> Column:
 
 
 def format_numeric(value: Column, scale: int | None, compat: bool = False) -> Column:
-    """A decimal at the target column's scale, halves away from zero.
+    """A decimal at the target column's scale, halves away from zero, at whatever precision it has (up to 38 digits).
 
     Columns without a declared scale keep the value; with ``compat`` they take scale
     0, so the fraction is rounded away.
     """
     if scale is None:
         scale = 0 if compat else None
-    exact = value.cast("decimal(38,18)")
-    return value if scale is None else exact.cast(T.DecimalType(38 if scale else 38 - 18, scale))
+    return value if scale is None else F.round(value, scale)
 
 
 def format_value(value: Column, oid: int, null_uuid_as_empty: bool = False) -> Column:

@@ -18,11 +18,17 @@ class ApplyError(ValueError):
     pass
 
 
+def without_key(keys: list[str]) -> Column:
+    """Some part of the record's key is missing, or its table has none."""
+    out = F.lit(not keys)
+    for k in keys:
+        out = out | F.col(k).isNull()
+    return out
+
+
 def rejected(recs: DataFrame, keys: list[str]) -> DataFrame:
     """(operation, n): updates and deletes without a key, and unknown operations; any of them fails the whole batch."""
-    no_key = F.lit(not keys)
-    for k in keys:
-        no_key = no_key | F.col(k).isNull()
+    no_key = without_key(keys)
     bad = ~F.coalesce(F.col("operation").isin(*KNOWN), F.lit(False)) | (F.col("operation").isin("update", "delete") & no_key)
     return recs.where(bad).groupBy("operation").agg(F.count("*").alias("n"))
 
@@ -89,17 +95,22 @@ def apply_changes(target: DataFrame, recs: DataFrame, keys: list[str], columns:
 
     Creates, snapshots and updates upsert; deletes remove, absent rows included
     without effect; a delete followed by a create in the same batch keeps nothing of
-    the old row. Without keys every record but deletes is appended.
+    the old row. Without keys every record but deletes is appended, and so is a
+    create or snapshot record of a keyed table whose key is null. ``order`` must tell
+    any two records of a key apart: (lsn, seq), not the lsn alone.
     """
     if check:
         check_batch(recs, keys)
     if not keys:
         return append(target, recs, columns)
-    return merge(target, net_changes(recs, keys, columns, order, present), keys, columns)
+    loose = without_key(keys)
+    merged = merge(target, net_changes(recs.where(~loose), keys, columns, order, present), keys, columns)
+    return append(merged, recs.where(loose), [*keys, *columns])
 
 
 def append(target: DataFrame, recs: DataFrame, columns: list[str]) -> DataFrame:
-    rows = recs.select(*[F.col(c) for c in columns])
+    """``target`` and a row for each record that is no delete."""
+    rows = recs.where(F.col("operation") != "delete").select(*[F.col(c) for c in columns])
     return target.unionByName(rows, allowMissingColumns=True).select(*target.columns)
 
 

@@ -29,13 +29,13 @@ def operation(kind: Column) -> Column:
     return out
 
 
-def records(changes: DataFrame, key: str, full_before: bool = False) -> DataFrame:
+def records(changes: DataFrame, key: str, full_before: bool = True) -> DataFrame:
     """Records from (lsn, kind, relation, old, new[, unchanged]).
 
-    The key comes from the new image, for deletes from the old one. Updates have a
-    before image only where the feed carries it (``full_before``); deletes always,
-    with nulls in all but the key unless the feed carries more. An image
-    whose columns are all absent is null.
+    The key comes from the new image, for deletes from the old one. Updates and
+    deletes have the before image that the feed carries, whole or key only; an absent
+    one is null. Without ``full_before`` it is what a table's default identity
+    gives, whatever the feed holds: none for updates, the key for deletes.
     """
     names = changes.schema["new"].dataType.names
     op = operation(F.col("kind"))

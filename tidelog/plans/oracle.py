@@ -78,7 +78,7 @@ ORACLE: dict[str, str] = {
     """,
     "apply_upsert": """
         select coalesce(l.user_id,c.c_custkey) as c_custkey, case when l.user_id is not null then l.value else c.c_acctbal end as c_acctbal from
-        (select c_custkey,c_acctbal from customer where c_custkey>=100) c full outer join (select user_id,value from (select
+        (select c_custkey,c_acctbal from customer) c full outer join (select user_id,value from (select
         user_id,value,row_number() over(partition by user_id order by event_id desc) as r from events where event_type<>'error') where r=1) l on
         c.c_custkey=l.user_id
     """,
@@ -92,7 +92,7 @@ ORACLE: dict[str, str] = {
         c full outer join l on c.c_custkey=l.k where l.op is null or l.op<>'delete'
     """,
     "append_without_key": """
-        select s_suppkey, s_acctbal from supplier union all select s_suppkey, s_acctbal from supplier where s_suppkey % 2 = 0
+        select s_suppkey, s_acctbal from supplier union all select s_suppkey, s_acctbal from supplier
     """,
     "route_by_table_template": """
         select concat('events_',event_type) as target_table, count(*) as n from events group by 1
@@ -124,3 +124,61 @@ ORACLE: dict[str, str] = {
     """,
 }
 ORACLE["stream_apply_changes"] = ORACLE["apply_changes"]
+ORACLE |= {
+    "avro_schema_fields": """
+        with c as (select table_name as tbl, column_name as field, data_type as t from information_schema.columns where table_name in ('region',
+        'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels',
+        'conversations')), bad as (select distinct tbl from c where t like '%[]') select tbl, cast(row_number() over(partition by tbl order by
+        field) - 1 as int) as position, field, case t when 'BIGINT' then 'long' when 'INTEGER' then 'int' when 'DOUBLE' then 'double' when 'VARCHAR'
+        then 'string' when 'TIMESTAMP' then 'local-timestamp-micros' else t end as type from c where tbl not in (select tbl from bad) union all
+        select tbl, -1, null, null from bad
+    """,
+    "publication_tables": """
+        select case when event_type in ('click','view') then 'browsing' else 'business' end as publication, concat('events_',event_type) as tbl,
+        count(*) as n from events where event_type <> 'error' group by 1, 2
+    """,
+    "stream_progress": """
+        select cast(1 as bigint) as batches, count(*) as n from events
+    """,
+    "apply_null_key_creates": """
+        with r as (select case when user_id % 7 <> 0 then user_id end as k, value, event_id from events where event_type = 'signup' or (event_type
+        <> 'error' and user_id % 7 <> 0)), l as (select k, value from (select *, row_number() over(partition by k order by event_id desc) as n from r
+        where k is not null) where n=1) select coalesce(l.k, c.c_custkey) as c_custkey, case when l.k is not null then l.value else c.c_acctbal end
+        as c_acctbal from customer c full outer join l on c.c_custkey=l.k union all select null, value from r where k is null
+    """,
+    "apply_within_transactions": """
+        with l as (select * from (select user_id as k, event_type as t, value, row_number() over(partition by user_id order by event_id desc) as r
+        from events) where r=1) select coalesce(l.k,c.c_custkey) as c_custkey, case when l.k is not null then l.value else c.c_acctbal end as
+        c_acctbal from customer c full outer join l on c.c_custkey=l.k where l.t is null or l.t<>'error'
+    """,
+    "apply_partial_updates": """
+        with e as (select user_id as k, event_id as n, event_type as t, value as v, max(case when event_type='error' then event_id end)
+        over(partition by user_id) as d from events), live as (select * from e where d is null or n >= d), net as (select k, arg_max(v,n) filter
+        (t<>'error') as a, count(*) filter (t<>'error') > 0 as sa, arg_max(n+1,n) filter (t not in ('error','click')) as b, count(*) filter (t not in
+        ('error','click')) > 0 as sb, arg_max(t,n)='error' as gone, max(d) is not null as cleared from live group by k) select coalesce(net.k,
+        c.c_custkey) as k, case when sa then net.a when cleared then null else c.c_acctbal end as a, case when sb then net.b when cleared then null
+        else c.c_custkey*10 end as b from customer c full outer join net on c.c_custkey=net.k where not coalesce(gone,false)
+    """,
+    "apply_routed": """
+        select concat('events_',event_type) as target_table, user_id as k, arg_max(value,event_id) as v from events group by 1, 2
+    """,
+    "numeric_many_digits": """
+        select o_orderkey, cast(cast(cast(o_orderkey+1 as varchar) || repeat('0',20) || '.' || lpad(cast(o_orderkey%100 as varchar),2,'0') as
+        decimal(38,2)) as decimal(38,1))::varchar as p from orders
+    """,
+    "catalog_primary_keys": """
+        select * from (values ('orders','o_orderkey'), ('customer','c_custkey'), ('events','event_id'), ('conversations','conv_id'),
+        ('conversations','turn')) t(tbl, name)
+    """,
+    "pgoutput_decode": """
+        select event_id+1 as lsn, case event_type when 'signup' then 'create' when 'error' then 'delete' else 'update' end as operation, user_id as
+        key, case when event_type<>'error' then value end as after_value, case when event_type='error' then value end as before_value from events
+    """,
+    "stream_handover": """
+        with e as (select user_id as k, event_id as n, event_type as t, value as v from events where event_id >= (select count(*)//3 from events)),
+        l as (select k, arg_max(t,n)='error' as gone, arg_max(v,n) as v, count(*) filter (t='error') > 0 as cleared from e group by k) select
+        coalesce(l.k,c.c_custkey) as c_custkey, case when coalesce(l.cleared,false) then null else c.c_name end as c_name, case when l.k is not null
+        then l.v else c.c_acctbal end as c_acctbal from (select * from customer where c_custkey>0) c full outer join l on c.c_custkey=l.k where not
+        coalesce(l.gone,false)
+    """,
+}

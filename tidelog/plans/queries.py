@@ -6,16 +6,20 @@ table that changes are applied to, the others are snapshot sources.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import avro, position
-from ..functions.pgtypes import format_numeric, key_value, uuid_text
+from ..functions.pgtypes import format_numeric, key_value, oid_of, uuid_text
 from ..operators import apply, changelog, routing, snapshot
-from ..sources import catalog
+from ..sources import catalog, pgoutput
 from ..sources.catalog import Publications
 
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -113,7 +117,7 @@ def cdc_before_image(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_delete_key_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = changelog.records(_changes(spark, sf_dir).where("kind = 'delete'"), "user_id")
+    recs = changelog.records(_changes(spark, sf_dir).where("kind = 'delete'"), "user_id", full_before=False)
     return recs.select("lsn", F.col("key.user_id").alias("key"), F.col("before.user_id").alias("before_user_id"), F.col("before.value").alias("before_value"))
 
 
@@ -150,7 +154,7 @@ def apply_last_write_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def apply_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = _table(spark, sf_dir, "customer").where("c_custkey >= 100").select("c_custkey", "c_acctbal")
+    target = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     recs = _flat(spark, sf_dir, "c_custkey", "c_acctbal").where("operation <> 'delete'")
     return apply.apply_changes(target, recs, ["c_custkey"], ["c_acctbal"], ["lsn"], present=None, check=False)
 
@@ -176,10 +180,44 @@ def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def append_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
-    recs = target.where("s_suppkey % 2 = 0").withColumn("operation", F.lit("create"))
+    recs = target.withColumn("operation", F.when(F.col("s_suppkey") % 2 == 0, "create").otherwise("snapshot"))
     return apply.apply_changes(target, recs, [], ["s_suppkey", "s_acctbal"], [], check=False)
 
 
+def apply_null_key_creates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Creates whose key is null are appended, a row each; records with a key are merged."""
+    target = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    recs = _flat(spark, sf_dir, "c_custkey", "c_acctbal").where("operation = 'create' or (operation = 'update' and c_custkey % 7 <> 0)")
+    recs = recs.withColumn("c_custkey", F.when(F.col("c_custkey") % 7 != 0, F.col("c_custkey")))
+    return apply.apply_changes(target, recs, ["c_custkey"], ["c_acctbal"], ["lsn"], present=None)
+
+
+def apply_within_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty changes to a transaction: equal lsn, told apart by their place in it."""
+    target = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    recs = _flat(spark, sf_dir, "c_custkey", "c_acctbal")
+    recs = recs.withColumn("seq", F.col("lsn") % 50).withColumn("lsn", F.floor(F.col("lsn") / 50).cast("bigint"))
+    return apply.apply_changes(target, recs, ["c_custkey"], ["c_acctbal"], ["lsn", "seq"], present=None)
+
+
+def apply_partial_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks carry one column of two: the other keeps what it has, unless the row was deleted in between."""
+    target = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("a"), (F.col("c_custkey") * 10).alias("b"))
+    recs = _table(spark, sf_dir, "events").select(
+        _lsn().alias("lsn"), changelog.operation(_kind()).alias("operation"), F.col("user_id").alias("k"), F.col("value").alias("a"), _lsn().alias("b"),
+        F.when(F.col("event_type") == "click", F.array(F.lit("a"))).otherwise(F.array(F.lit("a"), F.lit("b"))).alias("present"),
+    )
+    return apply.apply_changes(target, recs, ["k"], ["a", "b"], ["lsn"])
+
+
+def apply_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes dealt to a table for each event type, each table keeping the last value of a key: (target_table, k, v)."""
+    events = _table(spark, sf_dir, "events").select(_lsn().alias("lsn"), "event_type", F.col("user_id").alias("k"), F.col("value").alias("v"))
+    recs = routing.routed(events, "{{ concat('events_', event_type) }}").withColumn("operation", F.lit("update"))
+    target = spark.createDataFrame([], "target_table string, k bigint, v double")
+    return apply.apply_changes(target, recs, ["target_table", "k"], ["v"], ["lsn"], present=None)
+
+
 def route_by_table_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = routing.routed(_table(spark, sf_dir, "events").select("event_type"), "{{ concat('events_', event_type) }}")
     return recs.groupBy("target_table").agg(F.count("*").alias("n"))
@@ -197,6 +235,12 @@ def numeric_scale_default_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "orders").select("o_orderkey", format_numeric(_price(), None, compat=True).cast("decimal(18,0)").alias("p"))
 
 
+def numeric_many_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numerics of 26 integer digits, rounded to one place."""
+    wide = (F.col("o_orderkey") + 1).cast("decimal(12,0)") * F.lit(Decimal(10) ** 20) + (F.col("o_orderkey") % 100).cast("decimal(4,2)") / F.lit(Decimal("100.0"))
+    return _table(spark, sf_dir, "orders").select("o_orderkey", format_numeric(wide.cast("decimal(38,2)"), 1).cast("string").alias("p"))
+
+
 def raw_json_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = routing.structured(F.col("props"), T.StructType([T.StructField("k", T.LongType())]))
     return _table(spark, sf_dir, "events").select("event_id", payload["k"].alias("k"))
@@ -224,21 +268,67 @@ def quote_ident(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def avro_schema_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(tbl, position, field, type) of the Avro payload schemas of all tables that have one."""
+    """(tbl, position, field, type) of the Avro payload schemas of all tables; -1 and no type for a table that has none."""
     rows = []
-    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "labels", "conversations"):
-        schema = avro.from_spark(f"{name}_payload", _table(spark, sf_dir, name).schema)
+    for name in TABLES:
+        try:
+            schema = avro.from_spark(f"{name}_payload", _table(spark, sf_dir, name).schema)
+        except avro.SchemaError:
+            rows.append((name, -1, None, None))
+            continue
         for i, f in enumerate(schema["fields"]):
             rows.append((name, i, f["name"], f["type"] if isinstance(f["type"], str) else f["type"]["logicalType"]))
     return spark.createDataFrame(rows, "tbl string, position int, field string, type string")
 
 
 def publication_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(publication, tbl, n): the changes that each publication carries of its tables, here one for each event type."""
     p = Publications()
-    p.create("sales", ["customer", "orders"])
-    p.create("sales", ["part"])  # there already: stays
-    p.create("log", ["events"])
-    return spark.createDataFrame([(n, t) for n, own in p.tables.items() for t in own], "publication string, tbl string")
+    p.create("browsing", ["events_click", "events_view"])
+    p.create("business", ["events_purchase", "events_signup"])
+    p.create("spare", ["events_error"])
+    p.drop("spare")
+    members = spark.createDataFrame([(n, t) for n, own in p.tables.items() for t in own], "publication string, tbl string")
+    recs = routing.routed(_table(spark, sf_dir, "events").select("event_type"), "{{ concat('events_', event_type) }}")
+    return recs.join(F.broadcast(members), recs["target_table"] == members["tbl"]).groupBy("publication", "tbl").agg(F.count("*").alias("n"))
+
+
+def catalog_primary_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tbl, name): primary key columns, by the join of catalog rows; attributes are the tables' own."""
+    frames = {t: _table(spark, sf_dir, t) for t in TABLES}
+    attributes = spark.createDataFrame([(t, i + 1, c) for t, df in frames.items() for i, c in enumerate(df.columns)], "table string, number int, name string")
+    numbers = lambda t, names: [frames[t].columns.index(n) + 1 for n in names]
+    keys = {"orders": ["o_orderkey"], "customer": ["c_custkey"], "events": ["event_id"], "conversations": ["conv_id", "turn"]}
+    rows = [(t, numbers(t, own), True) for t, own in keys.items()] + [("orders", numbers("orders", ["o_custkey"]), False)]
+    indexes = spark.createDataFrame(rows, "table string, numbers array<int>, is_primary boolean")
+    out = None
+    for t in keys:
+        one = catalog.primary_keys(attributes, indexes, t).select(F.lit(t).alias("tbl"), "name")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _int_bytes(value: Column, size: int) -> Column:
+    return F.unhex(F.lpad(F.hex(value), 2 * size, "0"))
+
+
+def pgoutput_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log as replication messages, a transaction a change, taken apart and typed again."""
+    columns = [pgoutput.PgColumn("user_id", oid_of("int8"), -1, True), pgoutput.PgColumn("value", oid_of("float8"))]
+    events = _table(spark, sf_dir, "events")
+    field_ = lambda c: F.concat(F.lit(b"t"), _int_bytes(F.length(c.cast("string")), 4), c.cast("string").cast("binary"))
+    row = F.concat(_int_bytes(F.lit(2), 2), field_(F.col("user_id")), field_(F.col("value")))
+    begin = F.concat(F.lit(b"B"), _int_bytes(_lsn(), 8), _int_bytes(F.lit(0), 12))
+    part = {"insert": b"N", "update": b"N", "delete": b"O"}
+    change = F.lit(None).cast("binary")
+    for kind, letter in (("insert", b"I"), ("update", b"U"), ("delete", b"D")):
+        change = F.when(_kind() == kind, F.concat(F.lit(letter), _int_bytes(F.lit(7), 4), F.lit(part[kind]), row)).otherwise(change)
+    commit = F.concat(F.lit(b"C\0"), _int_bytes(_lsn(), 8), _int_bytes(F.lit(0), 16))
+    messages = events.select("event_id", F.posexplode(F.array(begin, change, commit)).alias("i", "data")).select((F.col("event_id") * 3 + F.col("i") + 1).alias("seq"), "data")
+    relation = spark.createDataFrame([(0, bytearray(pgoutput.encode_relation(pgoutput.Relation(7, "public", "events", columns))))], "seq bigint, data binary")
+    rows = pgoutput.with_context(pgoutput.decoded(relation.unionByName(messages)))
+    recs = changelog.records(pgoutput.typed(rows, "events", columns), "user_id")
+    return recs.select("lsn", "operation", F.col("key.user_id").alias("key"), F.col("after.value").alias("after_value"), F.col("before.value").alias("before_value"))
 
 
 def stream_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,6 +344,28 @@ def stream_apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply.merge(target, net, ["c_custkey"], ["c_acctbal"])
 
 
+def stream_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot, then feed, as one stream: a third of the changes came before it began, a third while it ran, a third later.
+
+    Those before are in the snapshot and don't come again. The stream stops after each part and goes on where it was.
+    """
+    from ..streaming.local import shared_path
+    from ..streaming.pipeline import Pipeline, Target
+
+    events = _table(spark, sf_dir, "events")
+    third = events.count() // 3
+    payload = F.when(F.col("event_type") != "error", F.to_json(F.struct(F.col("user_id").alias("c_custkey"), F.col("value").alias("c_acctbal"))))
+    log = events.select("event_id", _lsn().alias("lsn"), _kind().alias("kind"), F.lit("customer").alias("relation"), F.col("user_id").alias("key"), payload.alias("payload"))
+    path = shared_path(spark, "handover")
+    schema = T.StructType([f for f in _table(spark, sf_dir, "customer").schema.fields if f.name in ("c_custkey", "c_name", "c_acctbal")])
+    given = {"snapshot.customer": f"{sf_dir}/customer.parquet", "key.customer": "c_custkey", "changes": f"{path}/log"}
+    for low, high in ((0, third), (third, 2 * third), (2 * third, None)):
+        part = log.where(F.col("event_id") >= low) if high is None else log.where((F.col("event_id") >= low) & (F.col("event_id") < high))
+        part.drop("event_id").write.mode("append").parquet(f"{path}/log")
+        Pipeline(spark, f"{path}/pipe", given, {"customer": Target(schema, ["c_custkey"])}).run_available()
+    return Pipeline(spark, f"{path}/pipe", given, {}).table("customer").read()
+
+
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(batches, rows) that a stream over the change log reports."""
     from ..streaming.local import stream_counts
@@ -268,6 +380,7 @@ QUERIES = {
         table_key_lookup, cdc_records, cdc_resume_after_lsn, cdc_start_lsn, cdc_before_image, cdc_delete_key_only, cdc_micro_batches, lsn_format, lsn_roundtrip,
         cdc_standby_status, cdc_op_counts, apply_last_write_wins, apply_upsert, apply_delete, apply_changes, append_without_key, route_by_table_template,
         numeric_scale, numeric_scale_default_zero, raw_json_payload, reject_missing_key, snapshot_then_cdc, uuid_format, quote_ident, avro_schema_fields,
-        publication_tables, stream_apply_changes, stream_progress,
+        publication_tables, stream_apply_changes, stream_progress, apply_null_key_creates, apply_within_transactions, apply_partial_updates, apply_routed,
+        numeric_many_digits, catalog_primary_keys, pgoutput_decode, stream_handover,
     )
 }

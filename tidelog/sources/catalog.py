@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,24 @@ class CatalogError(ValueError):
     pass
 
 
+#: Fixed value: the SQL state of creating what is there already.
+DUPLICATE_OBJECT = "42710"
+
+
+def is_duplicate(error: Exception) -> bool:
+    """The database says that what was to be created is there already; callers go on with a warning."""
+    states = [getattr(error, "sqlstate", None), getattr(getattr(error, "java_exception", None), "getSQLState", lambda: None)()]
+    return DUPLICATE_OBJECT in states
+
+
+def slot_state(slots: DataFrame, name: str) -> dict:
+    """A replication slot's row from the catalog (slot, confirmed_flush_lsn, restart_lsn); a missing slot is an error."""
+    found = slots.where(F.col("slot") == name).limit(1).collect()
+    if not found:
+        raise CatalogError(f'no replication slot "{name}"')
+    return found[0].asDict()
+
+
 def quote_ident(name: str) -> str:
     """An identifier in double quotes; quotes inside are doubled."""
     return '"' + name.replace('"', '""') + '"'
@@ -103,10 +122,11 @@ class Publications:
     tables: dict[str, list[str]] = field(default_factory=dict)
 
     def create(self, name: str, tables: list[str]) -> bool:
-        """False if there was one of that name, which stays."""
+        """False, and a warning, if there was one of that name, which stays."""
         if not tables:
             raise CatalogError(f'publication "{name}" requires at least one table')
         if name in self.tables:
+            warnings.warn(f'publication "{name}" is there already and stays as it is', stacklevel=2)
             return False
         self.tables[name] = list(tables)
         return True

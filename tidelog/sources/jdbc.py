@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,34 +49,46 @@ def primary_key(spark: SparkSession, url: str, table: str, driver: str | None =
     return single_key(table, found)
 
 
-def merge_statement(table: str, staging: str, keys: list[str], columns: list[str]) -> str:
-    """MERGE of a staged batch: deletes, updates of listed columns, inserts."""
+def merge_statements(table: str, staging: str, keys: list[str], columns: list[str]) -> list[str]:
+    """MERGEs of a staged batch: each column where a change carries it (``set_<column>``), then deletes and inserts."""
     q = quote_ident
-    on = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
+    begin = f"MERGE INTO {q(table)} t USING {q(staging)} s ON " + " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
     rest = [c for c in columns if c not in keys]
-    update = f"WHEN MATCHED AND s.{q('deleted_')} = 0 THEN UPDATE SET " + ", ".join(f"{q(c)} = s.{q(c)}" for c in rest) + " " if rest else ""
     every = [*keys, *rest]
-    return (
-        f"MERGE INTO {q(table)} t USING {q(staging)} s ON {on} WHEN MATCHED AND s.{q('deleted_')} = 1 THEN DELETE {update}"
-        f"WHEN NOT MATCHED AND s.{q('deleted_')} = 0 THEN INSERT ({', '.join(map(q, every))}) VALUES ({', '.join(f's.{q(c)}' for c in every)})"
-    )
+    update = [f"{begin} WHEN MATCHED AND s.{q('deleted_')} = 0 AND s.{q(f'set_{c}')} = 1 THEN UPDATE SET {q(c)} = s.{q(c)}" for c in rest]
+    return [
+        *update,
+        f"{begin} WHEN MATCHED AND s.{q('deleted_')} = 1 THEN DELETE "
+        f"WHEN NOT MATCHED AND s.{q('deleted_')} = 0 THEN INSERT ({', '.join(map(q, every))}) VALUES ({', '.join(f's.{q(c)}' for c in every)})",
+    ]
 
 
 def apply_batch(net: DataFrame, url: str, table: str, keys: list[str], columns: list[str], driver: str | None = None, batch_size: int = 10_000) -> None:
-    """Net changes (one row a key, ``deleted``) to a database table: staged in parallel, merged in one transaction."""
+    """Net changes (one row a key, as of ``net_changes``) to a database table: staged in parallel, merged in one transaction.
+
+    Columns that no change carries (``set_<column>`` is false) keep what the table
+    holds, or become null where the row was deleted in between (``cleared``).
+    Without those columns every change carries all. The staging table's name is new.
+    """
     spark = net.sparkSession
-    staging = f"{table}_STAGED"
-    staged = net.select(*keys, *[c for c in columns if c not in keys], F.col("deleted").cast("int").alias("deleted_"))
+    staging = f"{table}_{uuid.uuid4().hex[:12]}".upper()
+    rest = [c for c in columns if c not in keys]
+    cleared = F.coalesce(F.col("cleared"), F.lit(False)) if "cleared" in net.columns else F.lit(False)
+    given = {c: F.coalesce(F.col(f"set_{c}"), F.lit(False)) if f"set_{c}" in net.columns else F.lit(True) for c in rest}
+    values = [F.when(given[c], F.col(c)).alias(c) for c in rest]
+    marks = [(given[c] | cleared).cast("int").alias(f"set_{c}") for c in rest]
+    staged = net.select(*keys, *values, *marks, F.col("deleted").cast("int").alias("deleted_"))
     writer = staged.write.format("jdbc").option("url", url).option("dbtable", quote_ident(staging)).option("batchsize", str(batch_size))
     if driver:
         writer = writer.option("driver", driver)
-    writer.mode("overwrite").save()
+    writer.mode("errorifexists").save()
     jvm = spark.sparkContext._jvm
     connection = jvm.java.sql.DriverManager.getConnection(url)
     try:
         connection.setAutoCommit(False)
         statement = connection.createStatement()
-        statement.executeUpdate(merge_statement(table, staging, keys, columns))
+        for merge in merge_statements(table, staging, keys, columns):
+            statement.executeUpdate(merge)
         statement.executeUpdate(f"DROP TABLE {quote_ident(staging)}")
         connection.commit()
     except Exception:

@@ -15,6 +15,11 @@ class OptionsError(ValueError):
     """One or more options are wrong; the message has a line for each."""
 
 
+def option(raw: dict[str, str], name: str) -> str | None:
+    """An option by its public name, in whatever case it was given."""
+    return next((v for k, v in raw.items() if k.lower() == name.lower()), None)
+
+
 def _url_error(url: str) -> str | None:
     if not url:
         return "url is required"
@@ -63,7 +68,8 @@ class SourceOptions:
 
     @classmethod
     def parse(cls, raw: dict[str, str]) -> SourceOptions:
-        """From string options by their public names."""
+        """From string options by their public names, in any case."""
+        raw = {n: v for n, *_ in SPECIFICATION if (v := option(raw, n)) is not None}
         true = lambda k, d: str(raw.get(k, d)).lower() in ("true", "1", "t")
         return cls(
             url=raw.get("url", ""),
@@ -115,6 +121,7 @@ SPECIFICATION = [
     ("logrepl.slotName", "string", SourceOptions.slot, "source"),
     ("logrepl.autoCleanup", "bool", "true", "source"),
     ("logrepl.withAvroSchema", "bool", "true", "source"),
+    ("snapshot.includeNonpositiveKeys", "bool", "false", "source"),
     ("batch.size", "int", "0", "source"),
     ("batch.delay", "duration", "1 second", "source"),
     ("table", "string", SinkOptions.table, "sink"),

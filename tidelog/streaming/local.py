@@ -14,11 +14,13 @@ from .store import VersionedTable
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder that driver and executors share: under spark.checkpoint.dir, or a temporary one where that is unset."""
+    """A fresh folder that driver and executors share: under spark.checkpoint.dir, or, in local mode alone, a temporary one."""
     import tempfile
 
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         root = tempfile.mkdtemp(prefix="tidelog-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tidelog/{name}-{uuid.uuid4().hex}"
