@@ -19,7 +19,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         root = tempfile.mkdtemp(prefix="tidelog-")
         spark.conf.set("spark.checkpoint.dir", root)
