@@ -20,9 +20,11 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
+    """The folder in spark.checkpoint.dir; a temporary one where that is unset, but only if all runs in this process."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         path = tempfile.mkdtemp(prefix="tidelog-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
