@@ -74,6 +74,30 @@ def test_model_beats_base_and_is_bounded(spark):
     assert 8 * len(small.filter.bits) <= 1 << 14
 
 
+def test_score_equals_brute_force_and_sums_to_one_at_most(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BITS_A_KEY", 64)  # hardly any false positive
+    r = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{int(x)}" for x in r.zipf(1.4, 40) % 50)) for i in range(80)] + [(200, ""), (201, None), (202, "w1 never seen w2")]
+    trained = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 10]
+    one, two, begin = Counter(), Counter(), len(trained)
+    for _, t in trained:
+        own = tokens(t)
+        one.update(own)
+        two.update(zip(["^", *own[:-1]], own, strict=True))
+    floor = sum(one.values()) + 0.1 * (len(one) + 1)
+    least = lambda c: 2 ** (c.bit_length() - 1) if c else 0
+    most = lambda c: 2 ** c.bit_length() - 1
+    context = lambda a: begin if a == "^" else one[a]
+    p = lambda a, w: (least(two[a, w]) + lm.K * (least(one[w]) + 0.1) / floor) / (most(context(a)) + lm.K)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm.score_corpus(df).collect()}
+    for i, t in rows:
+        own = tokens(t)
+        assert math.isclose(got[i], sum(math.log10(p(a, w)) for a, w in zip(["^", *own[:-1]], own, strict=True)), rel_tol=1e-9)
+    for a in ["^", "never", *(w for w in one if w)]:
+        assert sum(p(a, w) for w in [*one, "never"]) <= 1
+
+
 def test_stored_filter_leaves_nothing_out(spark, docs):
     # A filter too large to broadcast gives the scores of a broadcast one, for tokens seen once as well.
     for order in (2, 3):

@@ -15,6 +15,10 @@ all others are looked up by a shuffle.
 
 Probability of a token after a context: (c(context token) + K * P(token after the
 shorter context)) / (c(context) + K), down to (c(token) + 0.1) / (N + 0.1 (V + 1)).
+A level stands for the least count that it covers in a numerator and for the greatest
+in a denominator, so quantising never takes a context's sum past 1. What false
+positives add is held down by sub-sequences: an n-gram's level is at most that of
+its last token and of its context.
 """
 
 from __future__ import annotations
@@ -87,8 +91,9 @@ def level(counts: np.ndarray) -> np.ndarray:
     return np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64) + 1
 
 
-#: Count that a level stands for: the middle, in logarithms, of the counts it covers.
-VALUE = np.array([0.0] + [np.sqrt(2.0 ** (q - 1) * max(2.0**q - 1, 1.0)) for q in range(1, 64)])
+#: The least and the greatest count that a level covers.
+LEAST = np.array([0.0] + [2.0 ** (q - 1) for q in range(1, 64)])
+MOST = 2.0 ** np.arange(64) - 1
 
 
 def _grouped(h: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -361,17 +366,17 @@ def train(docs: DataFrame, order: int = ORDER, max_bits: int = MAX_BITS) -> tupl
 
 def _log_probabilities(m: Model, h: np.ndarray, bounds: np.ndarray, single: np.ndarray, back: np.ndarray) -> np.ndarray:
     """log10 of each token's probability; ``single``: levels of the distinct tokens, ``back``: which one each token is."""
-    p = (VALUE[single] + 0.1)[back] / m.floor
+    own = single[back]
+    p = (LEAST[single] + 0.1)[back] / m.floor
     for n in range(2, m.order + 1):
-        joint = VALUE[m.filter.levels(ngram_hashes(h, bounds, n))]
         if n == 2:
-            context = np.empty(len(h))
-            context[1:] = VALUE[single][back][:-1]
-            context[bounds[:-1]] = VALUE[m.filter.levels(np.array([BEGIN]))[0]]
+            context = np.empty(len(h), dtype=np.int64)
+            context[1:] = own[:-1]
+            context[bounds[:-1]] = m.filter.levels(np.array([BEGIN]))[0]
         else:
-            context = VALUE[m.filter.levels(context_hashes(h, bounds, n - 1))]
-        context = np.maximum(context, joint)
-        p = (joint + K * p) / (context + K)
+            context = m.filter.levels(context_hashes(h, bounds, n - 1))
+        joint = np.minimum(m.filter.levels(ngram_hashes(h, bounds, n)), np.minimum(own, context))
+        p = (LEAST[joint] + K * p) / (MOST[context] + K)
     return np.log10(np.maximum(p, 1e-300))
 
 
