@@ -52,15 +52,15 @@ def _clean() -> None:
             return
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again.
+def written(df: DataFrame, name: str, **options) -> DataFrame:
+    """``df`` written as Parquet to the shared folder, by the writer's options, and read again.
 
     Cuts the lineage: later stages read files that survive lost executors, and no
     part of the plan before them runs twice.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -45,8 +45,10 @@ MAX_BITS = 1 << 30
 SEGMENTS = 1024
 FREQUENT = 1 << 18
 K = 6.0
+#: Rows here hold up to megabytes: pages are closed by size, so that the buffers they are compressed in stay small.
+PACKED = {"parquet.page.size.row.check.min": "4", "parquet.page.size.row.check.max": "16", "parquet.block.size": str(32 << 20)}
 #: Tokens counted before a task hands on its counts.
-FLUSH = 2_000_000
+FLUSH = 1_500_000
 END, BEGIN = np.uint64(0x5E2D58D8B3BCDEF3), np.uint64(0x1F83D9ABFB41BD6B)
 _SHORT = 40
 
@@ -204,8 +206,8 @@ def _counts(docs: DataFrame, order: int) -> DataFrame:
 
     parts = docs.select("text").mapInArrow(count, shape)
     placed = parts.repartition("kind", "segment").sortWithinPartitions("kind", "segment")
-    with small_batches(docs.sparkSession):
-        return written(placed.mapInArrow(merge, shape), "lm-counts")
+    with small_batches(docs.sparkSession, 250):
+        return written(placed.mapInArrow(merge, shape), "lm-counts", **PACKED)
 
 
 # --- filter ---------------------------------------------------------------------------------------------------
@@ -488,11 +490,11 @@ def _stored_scores(docs: DataFrame, model: Model) -> DataFrame:
             yield row()
 
     ratio = SEGMENTS // model.segments
-    with small_batches(spark):
-        rows = written(docs.select("text").mapInArrow(ask, shape), "lm-requests")
+    with small_batches(spark, 250):
+        rows = written(docs.select("text").mapInArrow(ask, shape), "lm-requests", **PACKED)
         bits = spark.read.parquet(model.stored).select(F.lit(-1).cast("long").alias("slice"), (F.col("segment") / F.lit(ratio)).cast("int").alias("part"), F.col("segment").alias("first"), F.col("bits").alias("value"))
         both = bits.unionByName(rows.where("part >= 0")).repartition("part").sortWithinPartitions("part", F.desc("first"))
-        levels = written(both.mapInArrow(answer, shape), "lm-levels")
+        levels = written(both.mapInArrow(answer, shape), "lm-levels", **PACKED)
         back = rows.where("part < 0").unionByName(levels).repartition("slice").sortWithinPartitions("slice", "part")
         scores = written(back.mapInArrow(score, "na long, nb long, looked double"), "lm-looked")
     # Equal texts in several slices have the same score.
@@ -517,7 +519,7 @@ def score_documents(docs: DataFrame, model: Model, single: DataFrame) -> DataFra
         shift = np.uint64(SEGMENTS.bit_length() - 1 + _SHORT - (m.segments.bit_length() - 1))
         for b in batches:
             texts = b.column(2)
-            for a, z in slices(texts):
+            for a, z in slices(texts, 1 << 18):
                 h, bounds = tokens(texts.slice(a, z - a).to_pylist())
                 n = np.diff(bounds)
                 owner = np.repeat(np.arange(len(n)), n)
@@ -567,8 +569,8 @@ def score_documents(docs: DataFrame, model: Model, single: DataFrame) -> DataFra
                 )
 
     rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text").mapInArrow(score, schema)
-    with small_batches(spark):
-        rows = written(rows, "lm-scores")
+    with small_batches(spark, 250):
+        rows = written(rows, "lm-scores", **PACKED)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows by part, the counts first: for each request the sums of its texts."""
@@ -604,8 +606,8 @@ def score_documents(docs: DataFrame, model: Model, single: DataFrame) -> DataFra
     table = single.select((F.col("segment") / F.lit(ratio)).cast("int").alias("part"), F.col("segment").alias("first"), "hashes", "counts")
     asked = rows.where("part is not null").select("part", F.lit(-1).alias("first"), F.col("request").alias("hashes"), F.lit(None).cast("binary").alias("counts"))
     both = table.unionByName(asked).repartition("part").sortWithinPartitions("part", F.desc("first"))
-    with small_batches(spark):
-        sums = written(both.mapInArrow(answer, "na long, nb long, part int, known long, logs double"), "lm-answers")
+    with small_batches(spark, 250):
+        sums = written(both.mapInArrow(answer, "na long, nb long, part int, known long, logs double"), "lm-answers", **PACKED)
     # Equal texts in several batches asked for the same: one answer each.
     sums = sums.groupBy("na", "nb", "part").agg(F.first("known").alias("known"), F.first("logs").alias("logs"))
     sums = sums.groupBy("na", "nb").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs"))
