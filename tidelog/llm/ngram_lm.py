@@ -309,8 +309,8 @@ def _filter(counts: DataFrame, max_bits: int) -> tuple[Filter, str | None]:
             path = new_path(counts.sparkSession, "lm-filter")
             bits.write.parquet(path)
             return _joined([]), path
-        # One row a segment, max_bits in all.
-        return _joined([(r["segment"], bytes(r["bits"])) for r in bits.collect()]), None
+        # One row a segment, max_bits in all; a partition at a time, so that the driver holds them once.
+        return _joined([(r["segment"], bytes(r["bits"])) for r in bits.toLocalIterator()]), None
 
 
 # --- scores ---------------------------------------------------------------------------------------------------
